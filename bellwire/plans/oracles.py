@@ -365,6 +365,17 @@ FROM ordered o JOIN ordered l ON o.symbol = l.symbol AND l.date >= o.date
        {r6('(close - open) / nullif(open, 0)')} AS price_change_percentage FROM bars_ev""",
         "bars_ev",
     ),
+    "bar_feature_vectors": sql(
+        "SELECT symbol, date, "
+        + ", ".join(
+            r6(f"({c} - (SELECT avg({c}) FROM bars_ev)) / (SELECT stddev_samp({c}) FROM bars_ev)")
+            + f" AS f{i}"
+            for i, c in enumerate(BAR)
+        )
+        + f""", {r6('high - low')} AS f5, {r6('(close - open) / open')} AS f6
+FROM bars_ev WHERE open <> 0""",
+        "bars_ev",
+    ),
     "calendar_parts": sql(
         """SELECT symbol, date, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
        CAST(day(date) AS INTEGER) AS day FROM bars_ev""",

@@ -15,9 +15,13 @@ from bellwire.operators import asof as A
 from bellwire.operators import bars as B
 from bellwire.operators import labels as L
 from bellwire.operators import linking as K
+from bellwire.operators import models as P
 from bellwire.operators import scans as C
+from bellwire.operators import topics as Z
 from bellwire.operators import vectors as V
 from bellwire.plans import fixtures as X
+from bellwire.session import scratch_path, settled
+from bellwire.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -567,3 +571,75 @@ def labelled_news_export(spark, d):
         "doc_id", "symbol", "news_time", "news_title",
         F.md5("news_article").alias("article_md5"), "label",
     )
+
+
+# --- files and models ------------------------------------------------------
+
+
+@query
+def csv_bars(spark, d):
+    path = scratch_path(spark, "bars-csv")
+    files.write_csv(X.bars_ev(spark, d), path)
+    return files.read_bars_csv(spark, path)
+
+
+@query
+def bar_feature_vectors(spark, d):
+    """The 7 features of each bar, from the fitted feature stages."""
+    vectors = P.bar_vectors(X.bars_ev(spark, d))
+    return vectors.select(
+        "symbol", "date", *[r6(F.get("vector", i)).alias(f"f{i}") for i in range(7)]
+    )
+
+
+@query
+def lda_topics(spark, d):
+    docs = settled(Z.with_words(X.spread(X.table(spark, d, "documents"), "doc_id")))
+    model = Z.lda_pipeline(docs, files.bounded_words(X.stop_words(spark, d)))
+    weighted = Z.topic_array(model.transform(docs), minimum=Z.MIN_PROBABILITY)
+    return weighted.select(
+        "doc_id", *[r6(F.get("topic_weights", i)).alias(f"topic_{i}") for i in range(Z.TOPICS)]
+    )
+
+
+@query
+def lsi_topics(spark, d):
+    stop = files.bounded_words(X.stop_words(spark, d))
+    docs = settled(Z.with_words(X.spread(X.table(spark, d, "documents"), "doc_id")))
+    model = Z.fit_lsi(docs, stop)
+    coordinates = model.transform(V.bag_of_words(docs, X.stop_words(spark, d)))
+    return coordinates.select(
+        "doc_id",
+        *[r6(F.get("topic_weights", i)).alias(f"topic_{i}") for i in range(model.topics)],
+    )
+
+
+@query
+def svm_predictions(spark, d):
+    """Topics of rated documents, then a linear SVM on them; predictions of the test part."""
+    rated = X.table(spark, d, "documents").join(X.table(spark, d, "labels"), "doc_id")
+    rows = rated.select(
+        "doc_id", "text", F.col("quality").cast("double").alias("label"),
+        P.split_part(F.col("doc_id"), P.TRAIN_TEST).alias("part"),
+    )
+    docs = settled(Z.with_words(X.spread(rows, "doc_id")))
+    topics = Z.lda_pipeline(
+        docs.where("part = 'train'"), files.bounded_words(X.stop_words(spark, d))
+    )
+    # Topics are inferred once; training and testing read the stored rows.
+    rows = settled(topics.transform(docs).select("doc_id", "label", "part", "topics"))
+    model = P.train_svm(rows.where("part = 'train'"), features="topics")
+    tested = model.transform(rows.where("part = 'test'"))
+    return tested.select("doc_id", "label", "prediction")
+
+
+@query
+def price_forecast(spark, d):
+    """Next close of the test bars, by both regressors."""
+    rows = settled(P.forecast_rows(X.bars_ev(spark, d)))
+    predicted = P.train_forecast(rows).transform(rows.where("part = 'test'"))
+    return predicted.select(
+        "symbol", "date", "label",
+        r6("linear_prediction").alias("linear_prediction"),
+        r6("boosted_prediction").alias("boosted_prediction"),
+    )
