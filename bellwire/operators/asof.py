@@ -48,7 +48,7 @@ def _clamped(news: DataFrame, bars: DataFrame) -> DataFrame:
 
     Any day after the last bar sees what the day after it sees.
     """
-    ends = small_side(bars.groupBy("symbol").agg(F.max("date").alias("_end")))
+    ends = small_side(B.usable_bars(bars).groupBy("symbol").agg(F.max("date").alias("_end")))
     return (
         news_days(news)
         .join(ends, "symbol", "left")
@@ -98,7 +98,7 @@ def forward_k_bars(
     table = starts.withColumn("day", F.explode(F.sequence(since, F.col("date")))).drop(
         "_before", "date"
     )
-    begins = small_side(indexed.groupBy("symbol").agg(F.min("date").alias("_begin")))
+    begins = small_side(B.usable_bars(bars).groupBy("symbol").agg(F.min("date").alias("_begin")))
     return (
         news_days(news)
         .join(begins, "symbol", "left")

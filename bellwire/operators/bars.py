@@ -45,11 +45,15 @@ def bars_from_ticks(
     )
 
 
+def usable_bars(bars: DataFrame) -> DataFrame:
+    """Bars whose close is a positive number."""
+    return bars.where(F.col("close").isNotNull() & ~F.isnan("close") & (F.col("close") > 0))
+
+
 def valid_bars(bars: DataFrame) -> DataFrame:
     """Bars with a usable close, one per symbol and date."""
-    usable = bars.where(F.col("close").isNotNull() & ~F.isnan("close") & (F.col("close") > 0))
     in_order = Window.partitionBy("symbol").orderBy("date", "close")
-    marked = usable.withColumn("_before", F.lag("date").over(in_order))
+    marked = usable_bars(bars).withColumn("_before", F.lag("date").over(in_order))
     return marked.where(~F.col("date").eqNullSafe(F.col("_before"))).drop("_before")
 
 
