@@ -10,7 +10,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: runs of Chinese characters; other text is split at its separators.
-PIECES = re.compile(r"([一-龥]+)|([^\W_]+)")
+PIECES = re.compile(r"([一-龥]+)|([^\W_一-龥]+)")
 
 
 def longest_words(run: str, words: frozenset[str], longest: int) -> Iterator[str]:
