@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from bellwire.functions import scalars as S
 from bellwire.operators import bars as B
-from bellwire.session import small_side
+from bellwire.session import settled, small_side
 
 
 def news_days(news: DataFrame) -> DataFrame:
@@ -44,11 +44,11 @@ def bar_days(bars: DataFrame, payload: dict) -> DataFrame:
 
 
 def _clamped(news: DataFrame, bars: DataFrame) -> DataFrame:
-    """News days moved into the covered days of their symbol.
+    """News days moved into the covered days of their symbol; ``bars`` are valid ones.
 
     Any day after the last bar sees what the day after it sees.
     """
-    ends = small_side(B.usable_bars(bars).groupBy("symbol").agg(F.max("date").alias("_end")))
+    ends = small_side(bars.groupBy("symbol").agg(F.max("date").alias("_end")))
     return (
         news_days(news)
         .join(ends, "symbol", "left")
@@ -59,7 +59,7 @@ def _clamped(news: DataFrame, bars: DataFrame) -> DataFrame:
 
 def asof_last_bar(news: DataFrame, bars: DataFrame) -> DataFrame:
     """Each news item with the last bar dated strictly before it, if any."""
-    history = B.log_returns(bars)
+    history = settled(B.log_returns(bars))
     table = bar_days(
         history,
         {
@@ -69,7 +69,7 @@ def asof_last_bar(news: DataFrame, bars: DataFrame) -> DataFrame:
         },
     ).drop("date")
     return (
-        _clamped(news, bars)
+        _clamped(news, history)
         .join(table, ["symbol", "day"], "left")
         .withColumn("history", F.coalesce("history", F.lit(0)).cast("bigint"))
         .drop("day")
@@ -84,7 +84,7 @@ def forward_k_bars(
     A bar starts the future of every day after the bar before it; the first
     bar also starts that of all earlier days, which are clamped to its date.
     """
-    indexed = B.log_returns(bars)
+    indexed = settled(B.log_returns(bars))
     left = F.count("*").over(B.all_dates()) - F.col("idx") + 1
     starts = indexed.select(
         "symbol",
@@ -98,7 +98,7 @@ def forward_k_bars(
     table = starts.withColumn("day", F.explode(F.sequence(since, F.col("date")))).drop(
         "_before", "date"
     )
-    begins = small_side(B.usable_bars(bars).groupBy("symbol").agg(F.min("date").alias("_begin")))
+    begins = small_side(indexed.groupBy("symbol").agg(F.min("date").alias("_begin")))
     return (
         news_days(news)
         .join(begins, "symbol", "left")

@@ -26,28 +26,28 @@ def token_symbols(tokens: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def article_words(
-    articles: DataFrame, key: str, title: str | None, article: str, lower: bool = True
+    articles: DataFrame, keep: list[str], title: str | None, article: str, lower: bool = True
 ) -> DataFrame:
-    """``(key, token)``: distinct candidate words of each article.
+    """``(*keep, token)``: distinct candidate words of each article.
 
     Words are split, measured and made distinct inside the row.
     """
     text = S.title_and_article(F.col(title), F.col(article)) if title else F.col(article)
-    words = articles.select(
-        key, F.array_distinct(T.longer_tokens(T.tokens(text, lower), MIN_NAME_CHARS)).alias("_words")
+    words = T.longer_tokens(T.tokens(text, lower), MIN_NAME_CHARS)
+    return T.token_rows(
+        articles.select(*keep, F.array_distinct(words).alias("_words")), "_words", *keep
     )
-    return T.token_rows(words, "_words", key)
 
 
-def mentions(
+def mention_hits(
     articles: DataFrame,
     names: DataFrame,
     stop_words: DataFrame,
-    key: str = "doc_id",
+    keep: list[str],
     title: str | None = "news_title",
     article: str = "news_article",
 ) -> DataFrame:
-    """Distinct ``(key, symbol)`` pairs.
+    """``(*keep, symbol)`` for every name an article has; two names may share a symbol.
 
     Stop words are taken out of the names, not out of the text: the result is the
     same, and the text meets one join instead of two. What is left of the names is
@@ -56,13 +56,13 @@ def mentions(
     wanted = small_side(
         names.join(stop_words.withColumnRenamed("word", "name"), "name", "left_anti")
     )
-    hits = token_symbols(article_words(articles, key, title, article), wanted)
-    return hits.select(key, "symbol").distinct()
+    hits = token_symbols(article_words(articles, keep, title, article), wanted)
+    return hits.select(*keep, "symbol")
 
 
-def relevant_symbols(pairs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One row per article with a hit: its codes as an array, in order."""
-    return pairs.groupBy(key).agg(
+def relevant_symbols(hits: DataFrame, key: str = "doc_id") -> DataFrame:
+    """One row per article with a hit: its distinct codes as an array, in order."""
+    return hits.groupBy(key).agg(
         F.sort_array(F.collect_set("symbol")).alias("relevant_symbols")
     )
 
@@ -94,13 +94,11 @@ def symbol_fanout(linked: DataFrame) -> DataFrame:
 
 
 def labelled_export(
-    articles: DataFrame, pairs: DataFrame, bars: DataFrame, key: str = "doc_id"
+    articles: DataFrame, hits: DataFrame, bars: DataFrame, key: str = "doc_id"
 ) -> DataFrame:
-    """Labelled articles for all symbols at once.
+    """Labelled articles for all symbols at once, from ``(key, news_time, symbol)`` hits.
 
-    Labels are found on narrow ``(key, news_time, symbol)`` rows; the texts meet only
-    the finished labels.
+    Labels are found on the narrow rows; the texts meet only the finished labels.
     """
-    timed = pairs.join(articles.select(key, "news_time"), key)
-    labelled = L.label_news(timed, bars).select(key, "symbol", "label")
+    labelled = L.label_news(hits.distinct(), bars).select(key, "symbol", "label")
     return articles.join(labelled, key)

@@ -158,24 +158,25 @@ def feed_cap(
     feed: str,
     order: list[Column],
     cap: int = FEED_MAX_ITEMS,
-    shards: int = 64,
+    shards: tuple[int, ...] = (1024, 32, 1),
 ) -> DataFrame:
     """The first ``cap`` items of each feed.
 
-    Each shard of a feed keeps its own first ``cap`` rows, and only these meet,
-    so the last window sees at most ``shards * cap`` rows of a feed.
+    Each shard of a feed keeps its own first ``cap`` rows before fewer, then one,
+    see them: the first round splits a hot feed over all tasks, and later windows
+    hold at most 32 times ``cap`` rows of it.
     """
-    shard = F.pmod(F.xxhash64(*items.columns), F.lit(shards))
-    within = Window.partitionBy(feed, "_shard").orderBy(*order)
-    across = Window.partitionBy(feed).orderBy(*order)
-    return (
-        items.withColumn("_shard", shard)
-        .withColumn("_rank", F.row_number().over(within))
-        .where(F.col("_rank") <= cap)
-        .withColumn("_rank", F.row_number().over(across))
-        .where(F.col("_rank") <= cap)
-        .drop("_shard", "_rank")
-    )
+    place = F.xxhash64(*items.columns)
+    kept = items
+    for count in shards:
+        window = Window.partitionBy(feed, "_shard").orderBy(*order)
+        kept = (
+            kept.withColumn("_shard", F.pmod(place, F.lit(count)))
+            .withColumn("_rank", F.row_number().over(window))
+            .where(F.col("_rank") <= cap)
+            .drop("_rank", "_shard")
+        )
+    return kept
 
 
 def feed_high_water(items: DataFrame, feed: str, position: str, time: str) -> DataFrame:

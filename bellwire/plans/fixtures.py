@@ -24,6 +24,14 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
+def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+
+
 def code(number: Column) -> Column:
     return F.concat(F.lit("sh"), F.lpad(number.cast("string"), 6, "0"))
 
@@ -47,7 +55,7 @@ def bars_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bars_li(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars of unit prices per brand and shipping day."""
-    items = table(spark, sf_dir, "lineitem").join(
+    items = lineitem(spark, sf_dir).join(
         table(spark, sf_dir, "part").select("p_partkey", "p_brand"),
         F.col("l_partkey") == F.col("p_partkey"),
     )
@@ -66,7 +74,7 @@ def bars_li(spark: SparkSession, sf_dir: str) -> DataFrame:
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as news on each brand they hold, at midnight or within the day."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    items = lineitem(spark, sf_dir).select("l_orderkey", "l_partkey")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     minutes = F.make_dt_interval(
         F.lit(0), F.lit(0), (F.col("o_orderkey") % 1440).cast("int")
@@ -88,7 +96,7 @@ def news_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     minutes = F.make_dt_interval(
         F.lit(0), F.lit(0), ((F.col("doc_id") * 37) % 43200).cast("int")
     )
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id",
         F.concat(F.lit("src"), (F.col("doc_id") % 3).cast("string")).alias("feed"),
         (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + minutes).alias("news_time"),

@@ -185,7 +185,7 @@ def after_close_snapshot(spark, d):
 
 @query
 def tokens_no_stop(spark, d):
-    docs = X.spread(X.table(spark, d, "documents"), "doc_id")
+    docs = X.documents(spark, d)
     bow = V.bag_of_words(docs, X.stop_words(spark, d))
     # Counts stand for the repeated tokens themselves.
     return bow.groupBy("doc_id").agg(
@@ -210,15 +210,15 @@ def token_symbol_join(spark, d):
     )
 
 
-def doc_pairs(spark, d):
-    return K.mentions(
-        X.spread(X.news_docs(spark, d), "doc_id"), X.names(spark, d), X.stop_words(spark, d)
+def doc_hits(spark, d, keep=("doc_id",)):
+    return K.mention_hits(
+        X.news_docs(spark, d), X.names(spark, d), X.stop_words(spark, d), list(keep)
     )
 
 
 @query
 def stock_mentions(spark, d):
-    linked = K.relevant_symbols(doc_pairs(spark, d))
+    linked = K.relevant_symbols(doc_hits(spark, d))
     return linked.select("doc_id", K.joined_codes(F.col("relevant_symbols")).alias("codes"))
 
 
@@ -233,7 +233,7 @@ def relevant_symbols(spark, d):
 @query
 def link_writeback(spark, d):
     docs = X.news_docs(spark, d)
-    linked = K.relevant_symbols(doc_pairs(spark, d)).select(
+    linked = K.relevant_symbols(doc_hits(spark, d)).select(
         "doc_id", K.joined_codes(F.col("relevant_symbols")).alias("codes")
     )
     written = K.link_writeback(docs, linked)
@@ -244,7 +244,7 @@ def link_writeback(spark, d):
 
 @query
 def news_for_symbol(spark, d):
-    linked = K.relevant_symbols(doc_pairs(spark, d))
+    linked = K.relevant_symbols(doc_hits(spark, d))
     one = K.news_for_symbol(linked, "sh000007")
     return X.news_docs(spark, d).join(one, "doc_id").select(
         "doc_id", "news_time", "news_title",
@@ -254,7 +254,7 @@ def news_for_symbol(spark, d):
 
 @query
 def news_symbol_fanout(spark, d):
-    linked = K.relevant_symbols(doc_pairs(spark, d))
+    linked = K.relevant_symbols(doc_hits(spark, d))
     fanned = K.symbol_fanout(linked)
     return fanned.join(X.snapshot(spark, d), "symbol").select(
         "doc_id", "symbol", "name", "trade"
@@ -295,19 +295,19 @@ def distinct_values(spark, d):
 
 @query
 def bow(spark, d):
-    docs = X.spread(X.table(spark, d, "documents"), "doc_id")
+    docs = X.documents(spark, d)
     return V.bag_of_words(docs, X.stop_words(spark, d))
 
 
 @query
 def dictionary(spark, d):
-    docs = X.spread(X.table(spark, d, "documents"), "doc_id")
+    docs = X.documents(spark, d)
     return V.dictionary(V.bag_of_words(docs, X.stop_words(spark, d)))
 
 
 @query
 def tfidf(spark, d):
-    docs = X.spread(X.table(spark, d, "documents"), "doc_id")
+    docs = X.documents(spark, d)
     counts = V.bag_of_words(docs, X.stop_words(spark, d))
     weights = V.tfidf_weights(counts, V.inverse_frequencies(counts, docs))
     return rounded(weights, ["doc_id", "token"], ["weight"])
@@ -494,7 +494,7 @@ def sparse_to_dense(spark, d):
 
 @query
 def tokenize(spark, d):
-    docs = X.table(spark, d, "documents").select("doc_id", T.tokens(F.col("text")).alias("_words"))
+    docs = X.documents(spark, d).select("doc_id", T.tokens(F.col("text")).alias("_words"))
     rows = docs.select("doc_id", F.posexplode_outer("_words").alias("position", "token"))
     return T.outer_rows(rows, "token")
 
@@ -522,9 +522,8 @@ def stream_parse(spark, d):
 
 @query
 def stream_validate(spark, d):
-    checked = M.parsed(X.messages(spark, d))
-    ok = F.coalesce(M.reason().isin("bad_type"), F.lit(True))
-    return checked.select("doc_id", ok.alias("shape_ok"))
+    ok = F.coalesce(F.col("reason") == "bad_type", F.lit(True))
+    return M.checked(X.messages(spark, d)).select("doc_id", ok.alias("shape_ok"))
 
 
 @query
@@ -565,7 +564,7 @@ def label_news_calendar(spark, d):
 @query
 def labelled_news_export(spark, d):
     exported = K.labelled_export(
-        X.news_docs(spark, d), doc_pairs(spark, d), X.bars_ev(spark, d)
+        X.news_docs(spark, d), doc_hits(spark, d, ("doc_id", "news_time")), X.bars_ev(spark, d)
     )
     return exported.select(
         "doc_id", "symbol", "news_time", "news_title",
@@ -594,7 +593,7 @@ def bar_feature_vectors(spark, d):
 
 @query
 def lda_topics(spark, d):
-    docs = settled(Z.with_words(X.spread(X.table(spark, d, "documents"), "doc_id")))
+    docs = settled(Z.with_words(X.documents(spark, d)))
     model = Z.lda_pipeline(docs, files.bounded_words(X.stop_words(spark, d)))
     weighted = Z.topic_array(model.transform(docs), minimum=Z.MIN_PROBABILITY)
     return weighted.select(
@@ -605,7 +604,7 @@ def lda_topics(spark, d):
 @query
 def lsi_topics(spark, d):
     stop = files.bounded_words(X.stop_words(spark, d))
-    docs = settled(Z.with_words(X.spread(X.table(spark, d, "documents"), "doc_id")))
+    docs = settled(Z.with_words(X.documents(spark, d)))
     model = Z.fit_lsi(docs, stop)
     coordinates = model.transform(V.bag_of_words(docs, X.stop_words(spark, d)))
     return coordinates.select(

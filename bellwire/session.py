@@ -19,6 +19,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Per-feed caps of 10,000 rows are applied before the shuffle.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     # GBK word lists need the full JDK charset set.
     "spark.sql.legacy.javaCharsets": "true",
 }

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.ml.util import MLReader, MLWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 
 def append_rows(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -12,6 +13,16 @@ def append_rows(df: DataFrame, path: str, partition_by: list[str] | None = None)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def observed(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, Observation]:
+    """``df`` with counters that are ready once it has been written.
+
+    Rows are always counted; further metrics are aggregate columns. Nothing is read twice.
+    """
+    counters = Observation(name)
+    extra = [column.alias(key) for key, column in metrics.items()]
+    return df.observe(counters, F.count(F.lit(1)).alias("rows"), *extra), counters
+
+
 def append_table(df: DataFrame, name: str) -> None:
     """Append to a catalog table ``database.collection``."""
     df.write.mode("append").saveAsTable(name)

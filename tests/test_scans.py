@@ -167,5 +167,7 @@ def test_write_if_absent_and_append(spark, tmp_path, base):
     sinks.write_if_absent(base, path)
     sinks.write_if_absent(base.limit(1), path)
     assert spark.read.parquet(path).count() == 4
-    sinks.append_rows(base, path)
+    counted, counters = sinks.observed(base, "append", with_n=F.count("n"))
+    sinks.append_rows(counted, path)
+    assert counters.get == {"rows": 4, "with_n": 3}
     assert spark.read.parquet(path).count() == 8

@@ -89,7 +89,7 @@ def test_mentions(spark):
         "doc_id BIGINT, news_title STRING, news_article STRING",
     )
     stop = spark.createDataFrame([("the",)], "word STRING")
-    linked = K.relevant_symbols(K.mentions(news, K.symbol_lookup(listings), stop))
+    linked = K.relevant_symbols(K.mention_hits(news, K.symbol_lookup(listings), stop, ["doc_id"]))
     got = {r["doc_id"]: r["relevant_symbols"] for r in linked.collect()}
     assert got == {1: ["sh2", "sh3"], 2: ["sh3"]}
     assert [r["doc_id"] for r in K.news_for_symbol(linked, "sh2").collect()] == [1]
@@ -107,10 +107,10 @@ def test_mentions_without_broadcast(spark):
     stop = spark.createDataFrame([("the",)], "word STRING")
     rows = [(i, f"acme {'bolt' if i % 7 == 0 else ''} the {i}") for i in range(500)]
     news = spark.createDataFrame(rows, "doc_id BIGINT, news_article STRING")
-    with_hint = K.mentions(news, names, stop, title=None)
+    with_hint = K.mention_hits(news, names, stop, ["doc_id"], title=None).distinct()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        words = K.article_words(news, "doc_id", None, "news_article")
+        words = K.article_words(news, ["doc_id"], None, "news_article")
         without = K.token_symbols(words, names).select("doc_id", "symbol").distinct()
         assert sorted(map(tuple, with_hint.collect())) == sorted(map(tuple, without.collect()))
         assert with_hint.count() == 500 + 72
