@@ -2,7 +2,9 @@
 
 Both labels are functions of ``(symbol, first midnight)``, so they are computed on
 the bars and met by the news with one equi-join. Days whose label is the default
-are left out of the day table: an unmatched news item is neutral.
+are left out of the day table: an unmatched news item is neutral. The table is stored and
+measured first. If it is small it is broadcast and news is not shuffled at all; if not, both
+sides are shuffled by symbol and day.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from bellwire.functions import scalars as S
 from bellwire.operators import asof as A
 from bellwire.operators import bars as B
+from bellwire.session import small_side
 
 
 def _label_days(bars: DataFrame, horizons: tuple[int, ...]) -> DataFrame:
@@ -58,7 +61,7 @@ def label_news(
     table = _label_days(bars, (horizon,)).withColumnRenamed(f"label_{horizon}", "label")
     return (
         A.news_days(news)
-        .join(table, ["symbol", "day"], "left")
+        .join(small_side(table), ["symbol", "day"], "left")
         .withColumn("label", F.coalesce("label", F.lit("neutral")))
         .drop("day")
     )
@@ -69,7 +72,7 @@ def label_news_horizons(
 ) -> DataFrame:
     """One row per news item and horizon; the horizons share one join."""
     table = _label_days(bars, horizons)
-    joined = A.news_days(news).join(table, ["symbol", "day"], "left").drop("day")
+    joined = A.news_days(news).join(small_side(table), ["symbol", "day"], "left").drop("day")
     fanned = F.array(
         *[
             F.struct(
@@ -101,7 +104,7 @@ def label_news_calendar(
     )
     return (
         A.news_days(news)
-        .join(table, ["symbol", "day"], "left")
+        .join(small_side(table), ["symbol", "day"], "left")
         .withColumn("label", F.coalesce("label", F.lit(0)))
         .drop("day")
     )

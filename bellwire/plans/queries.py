@@ -20,7 +20,7 @@ from bellwire.operators import scans as C
 from bellwire.operators import topics as Z
 from bellwire.operators import vectors as V
 from bellwire.plans import fixtures as X
-from bellwire.session import scratch_path, settled
+from bellwire.session import scratch_path, settled, stored
 from bellwire.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -308,7 +308,8 @@ def dictionary(spark, d):
 @query
 def tfidf(spark, d):
     docs = X.documents(spark, d)
-    counts = V.bag_of_words(docs, X.stop_words(spark, d))
+    # Tokenising costs far more than reading counts back, and both steps need them.
+    counts = stored(V.bag_of_words(docs, X.stop_words(spark, d)), "bow")
     weights = V.tfidf_weights(counts, V.inverse_frequencies(counts, docs))
     return rounded(weights, ["doc_id", "token"], ["weight"])
 

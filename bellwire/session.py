@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows a side may have, and bytes its text may take, and still be broadcast.
-BROADCAST_MAX_ROWS = 500_000
+BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 DEFAULTS = {
@@ -70,6 +70,17 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as a columnar table below the shared folder.
+
+    For large intermediates that are read several times with few columns each. The
+    table stays until its folder is removed; checkpoints go with their session.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def small_side(
     df: DataFrame,
     max_rows: int = BROADCAST_MAX_ROWS,
