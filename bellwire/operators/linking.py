@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,14 +28,19 @@ def token_symbols(tokens: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def article_words(
-    articles: DataFrame, keep: list[str], title: str | None, article: str, lower: bool = True
+    articles: DataFrame,
+    keep: list[str],
+    title: str | None,
+    article: str,
+    tokenizer: Callable[[Column], Column] = T.tokens,
 ) -> DataFrame:
     """``(*keep, token)``: distinct candidate words of each article.
 
-    Words are split, measured and made distinct inside the row.
+    Words are split, measured and made distinct inside the row. ``tokenizer`` turns a
+    text into its words; Chinese text needs one that knows the names.
     """
     text = S.title_and_article(F.col(title), F.col(article)) if title else F.col(article)
-    words = T.longer_tokens(T.tokens(text, lower), MIN_NAME_CHARS)
+    words = T.longer_tokens(tokenizer(text), MIN_NAME_CHARS)
     return T.token_rows(
         articles.select(*keep, F.array_distinct(words).alias("_words")), "_words", *keep
     )
@@ -46,6 +53,7 @@ def mention_hits(
     keep: list[str],
     title: str | None = "news_title",
     article: str = "news_article",
+    tokenizer: Callable[[Column], Column] = T.tokens,
 ) -> DataFrame:
     """``(*keep, symbol)`` for every name an article has; two names may share a symbol.
 
@@ -56,7 +64,7 @@ def mention_hits(
     wanted = small_side(
         names.join(stop_words.withColumnRenamed("word", "name"), "name", "left_anti")
     )
-    hits = token_symbols(article_words(articles, keep, title, article), wanted)
+    hits = token_symbols(article_words(articles, keep, title, article, tokenizer), wanted)
     return hits.select(*keep, "symbol")
 
 

@@ -83,8 +83,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def small_side(
     df: DataFrame,
-    max_rows: int = BROADCAST_MAX_ROWS,
-    max_bytes: int = BROADCAST_MAX_BYTES,
+    max_rows: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """``df`` settled, with a broadcast hint only if it was measured to be small.
 
@@ -92,6 +92,8 @@ def small_side(
     the bounds no hint is given, and the planner shuffles both sides with
     adaptive skew splitting.
     """
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
     kept = settled(df)
     width = sum(
         (

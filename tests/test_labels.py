@@ -6,7 +6,9 @@ from datetime import date, datetime, timedelta
 from statistics import mean, pstdev, stdev
 
 import pytest
+from pyspark.sql import functions as F
 
+from bellwire import session
 from bellwire.operators import asof as A
 from bellwire.operators import bars as B
 from bellwire.operators import labels as L
@@ -183,28 +185,45 @@ def test_horizon_uses_row_k_plus_one(spark):
     assert label_of(spark, days, midnight(DAY0 + timedelta(days=3)), 14) == "neutral"
 
 
-def test_hot_symbol(spark):
-    """A third of the news on one symbol and day, under forced skew splitting."""
-    keep = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
-    }
-    before = {k: spark.conf.get(k, None) for k in keep}
-    for k, v in keep.items():
+SKEWED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+}
+
+
+@pytest.fixture
+def no_broadcast(spark, monkeypatch):
+    """No side is small enough, and partitions count as skewed early."""
+    before = {k: spark.conf.get(k, None) for k in SKEWED}
+    for k, v in SKEWED.items():
         spark.conf.set(k, v)
-    try:
-        days = daily(1.0, 1.01, 1.0, 1.01, 5.0)
-        bars = bar_frame(spark, {f"s{i}": days for i in range(50)})
-        hot = [(i, datetime(2024, 11, 4), "s0") for i in range(20000)]
-        rest = [(20000 + i, datetime(2024, 11, 4), f"s{i % 50}") for i in range(40000)]
-        news = spark.createDataFrame(hot + rest, NEWS).repartition(8)
-        labelled = L.label_news(news, bars)
-        counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
-        assert counts == {"good": 60000}
-        labelled.write.format("noop").mode("overwrite").save()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    monkeypatch.setattr(session, "BROADCAST_MAX_ROWS", 0)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_symbol_is_split(spark, no_broadcast):
+    """A third of the news on one symbol and day: its partition is split, nothing is lost."""
+    days = daily(1.0, 1.01, 1.0, 1.01, 5.0)
+    bars = bar_frame(spark, {f"s{i}": days for i in range(50)})
+    at = "TIMESTAMP_NTZ'2024-11-04 00:00:00'"
+    symbol = "IF(id % 3 = 0, 's0', concat('s', id % 50))"
+    news = spark.range(300_000, numPartitions=16).selectExpr(
+        "id AS news_id", f"{at} AS news_time", f"{symbol} AS symbol"
+    )
+    labelled = L.label_news(news, bars)
+    rows = labelled.groupBy("news_id").agg(F.first("label").alias("label"))
+    assert rows.where("label = 'good'").count() == 300_000
+    labelled.collect()
+    plan = labelled._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_joins_without_broadcast_equal_loops(spark, market, no_broadcast):
+    test_label_equals_loop(spark, market, 3)
+    test_calendar_label_equals_loop(spark, market, 15)
+    test_joins_equal_loops(spark, market)

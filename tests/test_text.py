@@ -125,6 +125,29 @@ def test_han_segments(spark):
     assert got == [["贵州茅台", "上涨", "3", "5", "A", "股", "bank", "大涨"], [], []]
 
 
+def test_han_mentions(spark):
+    """Names are dictionary words, so every article that has one is found."""
+    names = spark.createDataFrame(
+        [("贵州茅台", "sh600519"), ("平安银行", "sz000001"), ("万科", "sz000002")],
+        "name STRING, symbol STRING",
+    )
+    stop = spark.createDataFrame([("的",)], "word STRING")
+    news = spark.createDataFrame(
+        [
+            (1, "贵州茅台的股价", "平安银行与贵州茅台上涨"),
+            (2, None, "万科下跌"),  # two characters are too short for a name
+            (3, "平安", "银行"),
+        ],
+        "doc_id BIGINT, news_title STRING, news_article STRING",
+    )
+    known = [r["name"] for r in names.collect()]
+    hits = K.mention_hits(
+        news, names, stop, ["doc_id"], tokenizer=lambda c: han.segment(spark, c, known)
+    )
+    got = {r["doc_id"]: r["relevant_symbols"] for r in K.relevant_symbols(hits).collect()}
+    assert got == {1: ["sh600519", "sz000001"]}
+
+
 def test_word_lists(spark, tmp_path):
     (tmp_path / "gbk.txt").write_bytes("的\r\n 了 \r\n\r\n、\r\n".encode("gbk"))
     (tmp_path / "utf8.txt").write_text("股票\n　基金\n \n", encoding="utf-8")
