@@ -42,9 +42,8 @@ def type_name(text: str) -> str:
     return same.get(text.lower(), text.lower())
 
 
-def compare(spark, con, name: str, sf_dir: str, query, text: str) -> list[str]:
+def compare(con, df, text: str) -> list[str]:
     """Differences in columns, types and rows; empty if there are none."""
-    df = query(spark, sf_dir)
     columns = sorted(df.columns)
     types = dict(df.dtypes)
     got = sorted(tuple(plain(r[c]) for c in columns) for r in df.collect())
@@ -93,7 +92,7 @@ def main() -> None:
         start = time.time()
         try:
             if name in oracles:
-                problems = compare(spark, con, name, sf_dir, queries[name], oracles[name])
+                problems = compare(con, queries[name](spark, sf_dir), oracles[name])
                 kind = "sql"
             else:
                 problems = [] if queries[name](spark, sf_dir).count() else ["no rows"]
