@@ -1,7 +1,8 @@
 """Headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; one JSON line.
 
-Each query is run once to warm up and then timed; every row and column is
-produced, and nothing is written.
+Each query is run once to warm up and then twice; the faster of the two counts. Every
+row and column is produced. Time includes building the plan and storing what the
+query itself stores.
 """
 
 from __future__ import annotations
@@ -61,10 +62,12 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     seconds = {}
     for name in names:
-        for _ in range(2):
+        runs = []
+        for _ in range(3):
             start = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            seconds[name] = round(time.perf_counter() - start, 3)
+            runs.append(time.perf_counter() - start)
+        seconds[name] = round(min(runs[1:]), 3)
     sf = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
     print(
         json.dumps(
