@@ -13,34 +13,33 @@ from pyspark.sql import functions as F
 PIECES = re.compile(r"([一-龥]+)|([^\W_一-龥]+)")
 
 
-def longest_words(run: str, words: frozenset[str], longest: int) -> Iterator[str]:
-    """Left to right, the longest known word at each place, else one character."""
-    at = 0
-    while at < len(run):
-        for size in range(min(longest, len(run) - at), 1, -1):
-            if run[at : at + size] in words:
-                break
-        else:
-            size = 1
-        yield run[at : at + size]
-        at += size
-
-
 def segment(spark: SparkSession, text: Column, dictionary: list[str]) -> Column:
-    """``array<string>`` of words; ``dictionary`` is a bounded list of known words."""
+    """``array<string>`` of words; ``dictionary`` is a bounded list of known words.
+
+    Left to right, the longest known word at each place, else one character. The
+    helpers are defined in here so that they travel with the function: workers need
+    not have this package installed.
+    """
     shared = spark.sparkContext.broadcast(frozenset(dictionary))
+    longest = max(map(len, dictionary), default=1)
+    pieces = PIECES
+
+    def words_of(run: str) -> Iterator[str]:
+        at, known = 0, shared.value
+        while at < len(run):
+            sizes = range(min(longest, len(run) - at), 1, -1)
+            size = next((n for n in sizes if run[at : at + n] in known), 1)
+            yield run[at : at + size]
+            at += size
+
+    def split(line: str | None) -> list[str]:
+        found = []
+        for han, other in pieces.findall(line or ""):
+            found.extend(words_of(han) if han else [other])
+        return found
 
     @F.pandas_udf("array<string>")
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words = shared.value
-        longest = max(map(len, words), default=1)
-
-        def split(line):
-            found = []
-            for han, other in PIECES.findall(line or ""):
-                found.extend(longest_words(han, words, longest) if han else [other])
-            return found
-
         for texts in batches:
             yield texts.map(split)
 

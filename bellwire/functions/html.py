@@ -40,47 +40,48 @@ def flat_text(html: Column, tag: str, css_class: str | None = None) -> Column:
     return bare
 
 
-class _FirstElement(HTMLParser):
-    """Collects the text of the first element that matches, nested tags included."""
-
-    def __init__(self, tag: str, css_class: str | None) -> None:
-        super().__init__(convert_charrefs=True)
-        self.tag, self.css_class = tag, css_class
-        self.depth, self.done, self.parts = 0, False, []
-
-    def handle_starttag(self, tag, attrs):
-        if self.done or tag != self.tag:
-            return
-        if self.depth:
-            self.depth += 1
-        elif self.css_class is None or self.css_class in (dict(attrs).get("class") or "").split():
-            self.depth = 1
-
-    def handle_endtag(self, tag):
-        if self.depth and tag == self.tag:
-            self.depth -= 1
-            self.done = self.depth == 0
-
-    def handle_data(self, data):
-        if self.depth:
-            self.parts.append(data)
-
-
 def nested_text(
     html: Column, tag: str = ARTICLE_TAG, css_class: str | None = ARTICLE_CLASS
 ) -> Column:
-    """Like :func:`flat_text` for elements that nest their own tag, which no pattern can match."""
+    """Like :func:`flat_text` for elements that nest their own tag, which no pattern can match.
+
+    The parser is defined in here so that it travels with the function: workers need
+    not have this package installed.
+    """
+
+    class FirstElement(HTMLParser):
+        """Collects the text of the first element that matches, nested tags included."""
+
+        def __init__(self) -> None:
+            HTMLParser.__init__(self, convert_charrefs=True)
+            self.depth, self.done, self.parts = 0, False, []
+
+        def handle_starttag(self, name, attrs):
+            if self.done or name != tag:
+                return
+            classes = (dict(attrs).get("class") or "").split()
+            if self.depth:
+                self.depth += 1
+            elif css_class is None or css_class in classes:
+                self.depth = 1
+
+        def handle_endtag(self, name):
+            if self.depth and name == tag:
+                self.depth -= 1
+                self.done = self.depth == 0
+
+        def handle_data(self, data):
+            if self.depth:
+                self.parts.append(data)
+
+    def text(page: str | None) -> str:
+        parser = FirstElement()
+        parser.feed(page or "")
+        parser.close()
+        return "".join(parser.parts)
 
     @F.pandas_udf("string")
     def extract(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        def text(page):
-            if page is None:
-                return ""
-            parser = _FirstElement(tag, css_class)
-            parser.feed(page)
-            parser.close()
-            return "".join(parser.parts)
-
         for pages in batches:
             yield pages.map(text)
 
