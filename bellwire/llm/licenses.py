@@ -141,7 +141,7 @@ def merged_spans(diagonals: list[dict]) -> list[dict]:
         group.sort(key=lambda d: d["diagonal"])
         run: list[dict] = []
         for d in [*group, None]:
-            near = d and run and not base and d["diagonal"] - run[-1]["diagonal"] <= SLIP
+            near = d and run and not base and size >= 5 and d["diagonal"] - run[-1]["diagonal"] <= SLIP
             if run and not near:
                 # Each gram on a diagonal stands for k words of the template and of the text.
                 here = {p + j for x in run for p in x["places"] for j in range(K)}
