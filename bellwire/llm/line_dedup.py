@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bellwire.llm import spans
-from bellwire.llm.token_order import TokenOrder, token_order
+from bellwire.llm.token_order import TokenOrder, ordered_sets, token_order
 from bellwire.session import small_side, stored
 
-# Lines match when 100 * intersection >= PERCENT * union of their distinct words.
+# Lines match when 100 * intersection >= PERCENT * union of their distinct shingles of WORDS words.
+# Lines of fewer words have none and are never compared: short lines repeat by chance.
 PERCENT = 80
-# Lines of fewer distinct words are never compared: short lines repeat by chance.
-LEAST_WORDS = 5
+WORDS = 5
 
 LINE = "struct<doc_id: long, line: int>"
 
@@ -35,23 +35,21 @@ def line_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return spans.span_hashes(data, starts, ends), lines, rows, numbers
 
 
-def line_sets(texts: pa.Array, order: TokenOrder | None):
-    """Distinct words of each line, in the global order: tokens, their line; row and number of each line."""
+def line_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All word shingles of all lines: hash and line of each; then row and number of each line."""
     hashes, lines, rows, numbers = line_words(texts)
-    if order is None:
-        key = hashes
-    else:
-        key = (order.of(hashes).astype(np.uint64) << np.uint64(48)) | (hashes >> np.uint64(16))
-    by_key = np.argsort(key)
-    at = by_key[np.argsort(lines[by_key], kind="stable")]
-    hashes, lines = hashes[at], lines[at]
-    new = np.ones(len(hashes), bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (lines[1:] != lines[:-1])
-    return hashes[new], lines[new], rows, numbers
+    grams, first = spans.gram_hashes(hashes, lines, WORDS)
+    return grams, lines[first], rows, numbers
+
+
+def line_sets(texts: pa.Array, order: TokenOrder | None):
+    """Distinct shingles of each line, in the global order: tokens, their line; row and number of each line."""
+    grams, lines, rows, numbers = line_tokens(texts)
+    return *ordered_sets(grams, lines, order), rows, numbers
 
 
 def prefix_rows(docs: DataFrame, order: TokenOrder) -> DataFrame:
-    """``doc_id, line, n, set_key, prefix`` of each line with enough words."""
+    """``doc_id, line, n, set_key, prefix`` of each line with a shingle."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in spans.chunks(batches, "text"):
@@ -60,7 +58,7 @@ def prefix_rows(docs: DataFrame, order: TokenOrder) -> DataFrame:
             at = np.concatenate(([0], np.cumsum(sizes)))
             keys = np.zeros(len(rows), np.uint64)
             np.add.at(keys, lines, spans.mix(tokens))
-            able = np.flatnonzero(sizes >= LEAST_WORDS)
+            able = np.flatnonzero(sizes)
             lengths = np.zeros(len(rows), np.int64)
             lengths[able] = sizes[able] + (-PERCENT * sizes[able] // 100) + 1
             place = np.arange(len(tokens)) - at[lines]
@@ -81,7 +79,7 @@ def prefix_rows(docs: DataFrame, order: TokenOrder) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """``ref, words``: the distinct words of the lines asked for (column ``ref``), stored."""
+    """``ref, words``: the distinct shingles of the lines asked for (column ``ref``), stored."""
     asked = lines.groupBy(F.col("ref.doc_id").alias("_id")).agg(F.collect_set("ref.line").alias("_lines"))
     wanted = docs.join(small_side(asked), F.col("doc_id") == F.col("_id")).select("doc_id", "_lines", "text")
 
@@ -125,13 +123,13 @@ def matched(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 def duplicate_lines(docs: DataFrame) -> DataFrame:
     """``doc_id, line`` of every line that an earlier line matches; earlier by id, then by number.
 
-    1. Lines with equal word sets form a class; all but its first line are duplicates of it.
+    1. Lines with equal sets form a class; all but its first line are duplicates of it.
     2. The first lines meet on the tokens of their prefixes, in the global order of rarity.
     3. A token's earliest line meets all others; what matches it is settled.
     4. Lines that are left meet all earlier lines of their tokens. Length and position of each common
        token, then the number of common prefix tokens, rule pairs out; the rest is verified.
     """
-    order = token_order(docs, lambda part: line_sets(part["text"], None)[0])
+    order = token_order(docs, lambda part: line_tokens(part["text"])[0])
     lines = stored(prefix_rows(docs, order), "lines")
     ref = F.struct("doc_id", "line")
     classes = stored(
@@ -206,7 +204,7 @@ def dedup_report(docs: DataFrame) -> DataFrame:
     """``doc_id, n_lines, n_removed, text`` of every document.
 
     Lines are what stands between line feeds; their words stand between white space, A-Z
-    lower-cased. Lines of fewer than ``LEAST_WORDS`` distinct words stay. Whether an earlier line is
+    lower-cased; a line is the set of its shingles of ``WORDS`` words. Lines of fewer words stay. Whether an earlier line is
     itself removed doesn't matter. A null text stays null and counts one empty line; an empty table gives
     no rows. ``doc_id`` names a document: rows that repeat an id lose the same lines; rows without an id stay.
     """

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from bellwire.llm import spans
 from bellwire.llm.graph import components
-from bellwire.llm.token_order import TokenOrder, token_order
+from bellwire.llm.token_order import TokenOrder, ordered_sets, token_order
 from bellwire.session import small_side, stored
 
 # Words of a shingle; documents link when 100 * intersection >= PERCENT * union.
@@ -22,40 +22,28 @@ TRIE_SETS = 256
 STEP = 64
 
 
-def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of each text (hashes, rows), sorted by row and hash."""
+def shingles(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """All shingles of each text: hashes and rows, rows ascending."""
     data, at = spans.text_bytes(texts)
     data = spans.LOWER[data]
     starts, ends, rows = spans.runs(data, at, spans.SPACED)
     hashes = spans.span_hashes(data, starts, ends)
     grams, first = spans.gram_hashes(hashes, rows, k)
-    gram_rows = rows[first] if len(first) else np.zeros(0, np.int64)
+    gram_rows = rows[first]
     # Texts of fewer words than a shingle are one shingle, told apart by their length.
     counts = np.bincount(rows, minlength=len(at) - 1)
-    for row in np.flatnonzero((counts > 0) & (counts < k)).tolist():
-        a = int(np.searchsorted(rows, row))
-        whole = np.zeros(1, np.uint64)
-        for j in range(int(counts[row])):
-            whole = spans.mix(whole * spans._BASE + hashes[a + j : a + j + 1] + np.uint64(j + 101))
-        grams, gram_rows = np.append(grams, whole), np.append(gram_rows, row)
-    order = np.argsort(grams)
-    order = order[np.argsort(gram_rows[order], kind="stable")]
-    grams, gram_rows = grams[order], gram_rows[order]
-    new = np.ones(len(grams), bool)
-    new[1:] = (grams[1:] != grams[:-1]) | (gram_rows[1:] != gram_rows[:-1])
-    return grams[new], gram_rows[new]
-
-
-def ordered(grams: np.ndarray, rows: np.ndarray, order: TokenOrder) -> np.ndarray:
-    """The sets' tokens with each row's in the global order: rare before frequent, then by hash."""
-    classes = order.of(grams)
-    by_class = np.argsort(classes, kind="stable")
-    return grams[by_class[np.argsort(rows[by_class], kind="stable")]]
-
-
-def least_common(size: int) -> int:
-    """Tokens that a set of this size shares with any set it links to."""
-    return -(-PERCENT * size // 100)
+    short = np.flatnonzero((counts > 0) & (counts < k))
+    if len(short):
+        begin = np.searchsorted(rows, short)
+        whole = np.zeros(len(short), np.uint64)
+        for j in range(k - 1):
+            more = counts[short] > j
+            at_j = np.minimum(begin + j, len(hashes) - 1)
+            whole = np.where(more, spans.mix(whole * spans._BASE + hashes[at_j] + np.uint64(j + 101)), whole)
+        grams, gram_rows = np.concatenate((grams, whole)), np.concatenate((gram_rows, short))
+        by_row = np.argsort(gram_rows, kind="stable")
+        grams, gram_rows = grams[by_row], gram_rows[by_row]
+    return grams, gram_rows
 
 
 def document_sets(docs: DataFrame, order: TokenOrder, k: int) -> DataFrame:
@@ -63,13 +51,12 @@ def document_sets(docs: DataFrame, order: TokenOrder, k: int) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in spans.chunks(batches, "text"):
-            grams, rows = shingle_sets(part["text"], k)
+            tokens, rows = ordered_sets(*shingles(part["text"], k), order)
             n = part.num_rows
             sizes = np.bincount(rows, minlength=n)
             at = np.concatenate(([0], np.cumsum(sizes)))
             keys = np.zeros(n, np.uint64)
-            np.add.at(keys, rows, spans.mix(grams))
-            tokens = ordered(grams, rows, order)
+            np.add.at(keys, rows, spans.mix(tokens))
             lengths = np.where(sizes > 0, sizes + (-PERCENT * sizes // 100) + 1, 0)
             place = np.arange(len(tokens)) - at[rows]
             prefix = spans.bit_equal(tokens[place < lengths[rows]])
@@ -92,8 +79,8 @@ def chosen_sets(docs: DataFrame, nodes: DataFrame, order: TokenOrder, k: int) ->
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in spans.chunks(batches, "text"):
-            grams, rows = shingle_sets(part["text"], k)
-            raw = ordered(grams, rows, order).tobytes()
+            tokens, rows = ordered_sets(*shingles(part["text"], k), order)
+            raw = tokens.tobytes()
             at = np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=part.num_rows)))) * 8
             sets = [raw[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
             yield pa.record_batch([part["doc_id"], pa.array(sets, pa.binary())], names=["node", "tokens"])
@@ -209,7 +196,7 @@ def jaccard_links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame
     5. Candidates are verified on whole sets in tries.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    order = token_order(docs, lambda part: shingle_sets(part["text"], k)[0])
+    order = token_order(docs, lambda part: shingles(part["text"], k)[0])
     all_sets = stored(document_sets(docs, order, k), "document-sets")
     classes = (
         all_sets.where("n > 0 AND doc_id IS NOT NULL")

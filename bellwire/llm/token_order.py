@@ -37,7 +37,7 @@ class TokenOrder:
 def token_order(
     docs: DataFrame, tokens: Callable[[pa.RecordBatch], np.ndarray], known: int = KNOWN
 ) -> TokenOrder:
-    """Counts all tokens of all texts; ``tokens`` gives those of a chunk, once for each of its sets.
+    """Counts all tokens of all texts; ``tokens`` gives those of a chunk.
 
     Blocks of each task count exactly and report what is frequent in them; the reports are added
     up. The order decides how many candidates a join has to look at, never what it finds.
@@ -70,3 +70,21 @@ def token_order(
     classes = (8 * np.log2(rows["n"].to_numpy().astype(np.float64))).astype(np.uint16) + np.uint16(1)
     at = np.argsort(hashes)
     return TokenOrder(hashes[at], classes[at])
+
+
+def ordered_sets(
+    hashes: np.ndarray, owners: np.ndarray, order: TokenOrder | None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct tokens of each owner (ascending numbers), rare ones first, then by hash."""
+    owner_of, dense = np.unique(owners, return_inverse=True)
+    classes = order.of(hashes).astype(np.uint64) if order is not None else np.zeros(len(hashes), np.uint64)
+    if len(owner_of) < 1 << 20:
+        # One sort of numbers that hold the owner, the frequency class and the hash's upper bits.
+        key = dense.astype(np.uint64) << np.uint64(44) | classes << np.uint64(35) | hashes >> np.uint64(29)
+        at = np.argsort(key)
+    else:
+        at = np.lexsort((hashes, classes, dense))
+    hashes, owners = hashes[at], owners[at]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1])
+    return hashes[new], owners[new]

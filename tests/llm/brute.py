@@ -88,11 +88,11 @@ def quality(text):
 def duplicate_lines(docs):
     """(doc_id, line) of lines with an earlier match."""
     rows = [
-        (i, n, frozenset(SPACED.findall(line.translate(LOWER))))
+        (i, n, shingles(line, 5) if len(SPACED.findall(line)) >= 5 else frozenset())
         for i, text in sorted(dict(docs).items())
         for n, line in enumerate((text or "").split("\n"))
     ]
-    rows = [r for r in rows if len(r[2]) >= 5]
+    rows = [r for r in rows if r[2]]
     return {
         (i, n)
         for k, (i, n, x) in enumerate(rows)
