@@ -149,20 +149,23 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
         .distinct()
     )
     settled_ = stored(matched(docs, stored(first, "line-pairs")), "matched")
-    side = small_side(settled_)
-    open_ = shared.join(side, shared["ref"] == side["later"], "left_anti").where(F.col("ref") > F.col("pivot.ref"))
-    x = shared.select("token", F.col("ref").alias("earlier"), F.col("n").alias("m"), F.col("i").alias("j"))
-    y = open_.select("token", F.col("ref").alias("later"), "n", "i")
-    low, high = F.least("n", "m"), F.greatest("n", "m")
-    beyond = F.ceil(high * PERCENT / 100) - 1
-    second = (
-        x.join(y, "token")
-        .where((F.col("earlier") < F.col("later")) & could_match(F.col("n"), F.col("m"), F.col("i"), F.col("j")))
-        .groupBy("earlier", "later", "n", "m")
-        .agg(F.count("*").alias("common"))
-        .where(F.col("common") + beyond >= F.ceil((low + high) * PERCENT / (100 + PERCENT)))
-        .select("earlier", "later")
-    )
+    # Each line's shared prefix tokens, so that a pair is made once and only with enough of them in common.
+    lists = shared.groupBy(F.col("ref").alias("_ref")).agg(F.collect_set("token").alias("all"))
+    full = stored(shared.join(lists, F.col("ref") == F.col("_ref")).drop("_ref"), "shared-lists")
+    open_ = full.join(small_side(settled_), full["ref"] == F.col("later"), "left_anti").where(F.col("ref") > F.col("pivot.ref"))
+    x = full.select("token", F.col("ref").alias("earlier"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("all").alias("others"))
+    y = open_.select("token", F.col("ref").alias("later"), "n", "i", "all")
+    common = F.array_intersect("all", "others")
+    beyond = F.ceil(F.greatest("n", "m") * PERCENT / 100) - 1
+    needed = F.ceil((F.col("n") + F.col("m")) * PERCENT / (100 + PERCENT))
+    second = x.join(
+        y.withColumnRenamed("token", "_token"),
+        (F.col("token") == F.col("_token"))
+        & (F.col("earlier") < F.col("later"))
+        & could_match(F.col("n"), F.col("m"), F.col("i"), F.col("j"))
+        & (F.size(common) + beyond >= needed)
+        & (F.array_min(common) == F.col("token")),
+    ).select("earlier", "later")
     more = matched(docs, stored(second, "line-pairs"))
     near = stored(settled_.union(more), "matched")
     verdict = classes.select("set_key", "n", F.col("ref").alias("_first")).join(

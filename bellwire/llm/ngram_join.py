@@ -224,20 +224,26 @@ def jaccard_links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame
     # Tokens that stand in one component alone have nothing left to compare.
     mixed = named.groupBy("token").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi")
     rest = stored(named.join(mixed.select("token"), "token", "left_semi"), "rest")
-    x = rest.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    y = rest.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    low, high = F.least("na", "nb"), F.greatest("na", "nb")
-    # Common tokens beyond the shorter of both prefixes, at most.
-    beyond = F.ceil(high * PERCENT / 100) - 1
-    needed = F.ceil((low + high) * PERCENT / (100 + PERCENT))
-    pairs = (
-        x.join(y, "token")
-        .where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & length_ok("na", "nb"))
-        .groupBy("a", "b", "na", "nb")
-        .agg(F.count("*").alias("common"))
-        .where(F.col("common") + beyond >= needed)
-        .select("a", "b")
+    # A class's shared prefix tokens, so that a pair is made once and only with enough of them in common.
+    lists = shared.groupBy(F.col("node").alias("_node")).agg(F.collect_set("token").alias("all"))
+    full = rest.join(lists, F.col("node") == F.col("_node"))
+    x = full.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("all").alias("ta"))
+    y = full.select(
+        F.col("token").alias("_token"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("all").alias("tb")
     )
+    common = F.array_intersect("ta", "tb")
+    # Common tokens beyond the shorter of both prefixes, at most.
+    beyond = F.ceil(F.greatest("na", "nb") * PERCENT / 100) - 1
+    needed = F.ceil((F.col("na") + F.col("nb")) * PERCENT / (100 + PERCENT))
+    pairs = x.join(
+        y,
+        (F.col("token") == F.col("_token"))
+        & (F.col("a") < F.col("b"))
+        & (F.col("ra") != F.col("rb"))
+        & length_ok("na", "nb")
+        & (F.size(common) + beyond >= needed)
+        & (F.array_min(common) == F.col("token")),
+    ).select("a", "b")
     more = links_of(docs, stored(pairs, "pairs"), order, k)
     stars_of = groups_.select(F.col("node").alias("a"), F.col("root").alias("b"))
     return all_sets, components(more.unionByName(stars_of))
