@@ -163,6 +163,7 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
         (F.col("token") == F.col("_token"))
         & (F.col("earlier") < F.col("later"))
         & could_match(F.col("n"), F.col("m"), F.col("i"), F.col("j"))
+        & (F.least(F.size("all"), F.size("others")) + beyond >= needed)
         & (F.size(common) + beyond >= needed)
         & (F.array_min(common) == F.col("token")),
     ).select("earlier", "later")

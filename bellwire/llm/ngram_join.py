@@ -224,9 +224,10 @@ def jaccard_links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame
     # Tokens that stand in one component alone have nothing left to compare.
     mixed = named.groupBy("token").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi")
     rest = stored(named.join(mixed.select("token"), "token", "left_semi"), "rest")
-    # A class's shared prefix tokens, so that a pair is made once and only with enough of them in common.
-    lists = shared.groupBy(F.col("node").alias("_node")).agg(F.collect_set("token").alias("all"))
-    full = rest.join(lists, F.col("node") == F.col("_node"))
+    # A class's tokens of this kind, so that a pair is made once and only with enough of them in common.
+    # Both sides of the join below read one exchange.
+    lists = rest.groupBy(F.col("node").alias("_node")).agg(F.collect_set("token").alias("all"))
+    full = rest.join(lists, F.col("node") == F.col("_node")).drop("_node").repartition("token")
     x = full.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("all").alias("ta"))
     y = full.select(
         F.col("token").alias("_token"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("all").alias("tb")
@@ -241,6 +242,7 @@ def jaccard_links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame
         & (F.col("a") < F.col("b"))
         & (F.col("ra") != F.col("rb"))
         & length_ok("na", "nb")
+        & (F.least(F.size("ta"), F.size("tb")) + beyond >= needed)
         & (F.size(common) + beyond >= needed)
         & (F.array_min(common) == F.col("token")),
     ).select("a", "b")
