@@ -24,20 +24,32 @@ ENTITIES = (
 )
 
 
+def class_pattern(css_class: str) -> str:
+    """A class attribute, in either kind of quotes, that names the class as it is written."""
+    name = rf"(?-i:{css_class})"
+    quoted = [rf"{q}(?:[^{q}]*\s)?{name}(?:\s[^{q}]*)?{q}" for q in ("\"", "'")]
+    return rf"\sclass\s*=\s*(?:{'|'.join(quoted)})"
+
+
 def element_pattern(tag: str, css_class: str | None = None) -> str:
     """Pattern of the inside of the first element with a tag (and class)."""
     if css_class is None:
-        return rf"(?s)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>"
-    return rf"(?s)<{tag}\s[^>]*class=\"(?:[^\"]*\s)?{css_class}(?:\s[^\"]*)?\"[^>]*>(.*?)</{tag}>"
+        return rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>"
+    return rf"(?is)<{tag}(?=\s)[^>]*{class_pattern(css_class)}[^>]*>(.*?)</{tag}\s*>"
 
 
 def flat_text(html: Column, tag: str, css_class: str | None = None) -> Column:
     """Text of the first such element, ``''`` if none; it must not nest its own tag."""
     inside = F.regexp_extract(html, element_pattern(tag, css_class), 1)
     bare = F.regexp_replace(F.regexp_replace(inside, r"(?s)<!--.*?-->", ""), r"<[^>]*>", "")
-    for entity, text in ENTITIES:
-        bare = F.replace(bare, F.lit(entity), F.lit(text))
-    return bare
+    return decoded(bare)
+
+
+def decoded(text: Column) -> Column:
+    """``text`` with the entities of ``ENTITIES`` decoded."""
+    for entity, plain in ENTITIES:
+        text = F.replace(text, F.lit(entity), F.lit(plain))
+    return text
 
 
 def nested_text(
@@ -89,10 +101,13 @@ def nested_text(
 
 
 def link_targets(html: Column, css_class: str | None = LINK_CLASS) -> Column:
-    """``href`` of every link (of a class), in page order."""
+    """``href`` of every link (of a class), in page order, in either kind of quotes and case."""
     anchors = F.regexp_extract_all(html, F.lit(r"(?i)(<a\s[^>]*>)"), F.lit(1))
     if css_class is not None:
-        wanted = rf"class=\"(?:[^\"]*\s)?{css_class}(?:\s[^\"]*)?\""
-        anchors = F.filter(anchors, lambda a: a.rlike(wanted))
-    linked = F.filter(anchors, lambda a: a.rlike(r"href=\""))
-    return F.transform(linked, lambda a: F.regexp_extract(a, r"href=\"([^\"]*)\"", 1))
+        anchors = F.filter(anchors, lambda a: a.rlike(f"(?i){class_pattern(css_class)}"))
+    target = r"(?i)\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
+    linked = F.filter(anchors, lambda a: a.rlike(target))
+    return F.transform(
+        linked,
+        lambda a: decoded(F.concat(F.regexp_extract(a, target, 1), F.regexp_extract(a, target, 2))),
+    )

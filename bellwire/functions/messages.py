@@ -58,17 +58,25 @@ def checked(messages: DataFrame) -> DataFrame:
     return judged.select(*messages.columns, F.inline_outer("_verdict"))
 
 
+def accepted(judged: DataFrame) -> DataFrame:
+    return judged.where(F.col("reason").isNull()).drop("value", "reason")
+
+
+def refused(judged: DataFrame) -> DataFrame:
+    return judged.where(F.col("reason").isNotNull()).drop(*KEYS)
+
+
 def clean_news(messages: DataFrame) -> DataFrame:
     """Accepted messages as news rows, line breaks removed from the article.
 
     The same function serves batch and stream.
     """
-    return checked(messages).where(F.col("reason").isNull()).drop("value", "reason")
+    return accepted(checked(messages))
 
 
 def dead_letters(messages: DataFrame) -> DataFrame:
     """Refused messages as they came, with the reason."""
-    return checked(messages).where(F.col("reason").isNotNull()).drop(*KEYS)
+    return refused(checked(messages))
 
 
 def payload(df: DataFrame) -> DataFrame:

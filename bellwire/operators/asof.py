@@ -43,22 +43,12 @@ def bar_days(bars: DataFrame, payload: dict) -> DataFrame:
     return held.withColumn("day", F.explode(F.sequence(first, last))).drop("_next")
 
 
-def _clamped(news: DataFrame, bars: DataFrame) -> DataFrame:
-    """News days moved into the covered days of their symbol; ``bars`` are valid ones.
+def asof_last_bar(news: DataFrame, bars: DataFrame) -> DataFrame:
+    """Each news item with the last bar dated strictly before it, if any.
 
-    Any day after the last bar sees what the day after it sees.
+    News after the last bar takes that bar from one row per symbol, so its days stay
+    spread. News without a time has no bar.
     """
-    ends = small_side(bars.groupBy("symbol").agg(F.max("date").alias("_end")))
-    return (
-        news_days(news)
-        .join(ends, "symbol", "left")
-        .withColumn("day", F.least("day", F.date_add("_end", 1)))
-        .drop("_end")
-    )
-
-
-def asof_last_bar(news: DataFrame, bars: DataFrame) -> DataFrame:
-    """Each news item with the last bar dated strictly before it, if any."""
     history = settled(B.log_returns(bars))
     table = bar_days(
         history,
@@ -68,11 +58,20 @@ def asof_last_bar(news: DataFrame, bars: DataFrame) -> DataFrame:
             "history": F.col("idx"),
         },
     ).drop("date")
+    ends = small_side(
+        history.groupBy("symbol").agg(F.max(F.struct("date", "close", "idx")).alias("_last"))
+    )
+    after = F.col("day") > F.col("_last.date")
+    values = {"bar_date": "date", "bar_close": "close", "history": "idx"}
     return (
-        _clamped(news, history)
+        news_days(news)
+        .join(ends, "symbol", "left")
         .join(table, ["symbol", "day"], "left")
+        .withColumns(
+            {name: F.coalesce(name, F.when(after, F.col(f"_last.{c}"))) for name, c in values.items()}
+        )
         .withColumn("history", F.coalesce("history", F.lit(0)).cast("bigint"))
-        .drop("day")
+        .drop("day", "_last")
     )
 
 
@@ -81,8 +80,8 @@ def forward_k_bars(
 ) -> DataFrame:
     """Each news item with the first and the last of its next ``horizon + 1`` bars.
 
-    A bar starts the future of every day after the bar before it; the first
-    bar also starts that of all earlier days, which are clamped to its date.
+    A bar starts the future of every day after the bar before it. News before the first
+    bar takes that bar's values from one row per symbol; news without a time has no future.
     """
     indexed = settled(B.log_returns(bars))
     left = F.count("*").over(B.all_dates()) - F.col("idx") + 1
@@ -98,15 +97,18 @@ def forward_k_bars(
     table = starts.withColumn("day", F.explode(F.sequence(since, F.col("date")))).drop(
         "_before", "date"
     )
-    begins = small_side(indexed.groupBy("symbol").agg(F.min("date").alias("_begin")))
+    ahead = ["bars_ahead", "first_close", "last_close"]
+    begins = small_side(
+        starts.groupBy("symbol").agg(F.min(F.struct("date", *ahead)).alias("_first"))
+    )
+    before = F.col("day") < F.col("_first.date")
     return (
         news_days(news)
         .join(begins, "symbol", "left")
-        .withColumn("day", F.greatest("day", "_begin"))
-        .drop("_begin")
         .join(table, ["symbol", "day"], "left")
+        .withColumns({c: F.coalesce(c, F.when(before, F.col(f"_first.{c}"))) for c in ahead})
         .withColumn("bars_ahead", F.coalesce("bars_ahead", F.lit(0)).cast("bigint"))
-        .drop("day")
+        .drop("day", "_first")
     )
 
 

@@ -17,7 +17,6 @@ from bellwire.session import small_side
 HORIZONS = (3, 5, 10, 15, 30, 60)
 DEFAULT_HORIZON = 15
 # Fixed value: symbols without any stored bar load from here on.
-DEFAULT_START = "2000-01-01"
 
 
 def by_date() -> WindowSpec:
@@ -187,18 +186,19 @@ def latest_dates(bars: DataFrame) -> DataFrame:
 
 
 def incremental_bars(
-    incoming: DataFrame, stored: DataFrame, today: Column, default_start: str = DEFAULT_START
+    incoming: DataFrame, stored: DataFrame, today: Column, default_start: str | None = None
 ) -> DataFrame:
     """Incoming bars newer than the stored ones of the same symbol.
 
-    A symbol whose stored bars reach the weekday before ``today`` is skipped.
+    A symbol whose stored bars reach the weekday before ``today`` is skipped. One without
+    stored bars gives all of its bars, or those after ``default_start``.
     The marks are one row per symbol and broadcast only if measured small.
     """
     marks = small_side(latest_dates(stored))
     start = F.coalesce(F.col("latest"), F.lit(default_start).cast("date"))
+    open_ = start.isNull() | ((start < S.recent_weekday(today)) & (F.col("date") > start))
     return (
         incoming.join(marks, "symbol", "left")
-        .where(start < S.recent_weekday(today))
-        .where(F.col("date") > start)
+        .where(open_)
         .drop("latest")
     )

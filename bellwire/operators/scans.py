@@ -11,8 +11,6 @@ from bellwire.session import settled, small_side
 
 # Ids per page, page limit and items per feed of one load.
 PAGE_IDS = 3000
-PAGE_LIMIT = 1000
-FEED_MAX_ITEMS = 10_000
 
 
 def collection_scan(
@@ -35,11 +33,22 @@ def paged_scan(
     order: str | list[str],
     where: Column | None = None,
     skip: int = 0,
-    limit: int = PAGE_LIMIT,
+    limit: int | None = None,
+    after: Column | None = None,
 ) -> DataFrame:
-    """One page, projected leniently (an absent tag is null), then without its null rows."""
+    """One page, projected leniently (an absent tag is null), then without its null rows.
+
+    Without a ``limit`` all rows are read. ``skip`` sorts all rows before the page into one
+    take; deep pages are read with ``after``, the last key of the page before (one order column).
+    """
     rows = df if where is None else df.where(where)
-    page = rows.orderBy(order).offset(skip).limit(limit)
+    if after is not None:
+        rows = rows.where(F.col(order) > after)
+    page = rows
+    if skip or limit is not None:
+        page = page.orderBy(order).offset(skip)
+    if limit is not None:
+        page = page.limit(limit)
     have = [F.col(t) if t in df.columns else F.lit(None).alias(t) for t in tags]
     return page.select(*have).na.drop("any")
 
@@ -157,7 +166,7 @@ def feed_cap(
     items: DataFrame,
     feed: str,
     order: list[Column],
-    cap: int = FEED_MAX_ITEMS,
+    cap: int,
     shards: tuple[int, ...] = (1024, 32, 1),
 ) -> DataFrame:
     """The first ``cap`` items of each feed.

@@ -175,7 +175,7 @@ def feed_cap(spark, d):
         "news_time",
     )
     newest = [F.col("news_time").desc(), F.col("news_id"), F.col("symbol")]
-    return C.feed_cap(items, "feed", newest)
+    return C.feed_cap(items, "feed", newest, cap=10_000)
 
 
 @query
@@ -325,10 +325,8 @@ def mse_baseline(spark, d):
     lagged = B.log_returns(X.bars_ev(spark, d)).withColumn(
         "guess", F.lag("close").over(B.by_date())
     )
-    error = F.col("close") - F.col("guess")
-    return lagged.agg(
-        r6(F.avg(error * error)).alias("mse"), F.count("guess").alias("n")
-    )
+    error = P.mse(lagged.where("guess IS NOT NULL"), "guess", "close")
+    return lagged.agg(r6(F.lit(error)).alias("mse"), F.count("guess").alias("n"))
 
 
 @query
@@ -336,9 +334,9 @@ def accuracy(spark, d):
     docs = X.table(spark, d, "documents").select("doc_id", "n_chars")
     guess = F.when(F.col("n_chars") >= 1000, 1).otherwise(0)
     judged = docs.join(X.table(spark, d, "labels"), "doc_id").select(
-        (guess == F.col("quality")).cast("double").alias("hit")
+        guess.cast("double").alias("prediction"), F.col("quality").cast("double").alias("label")
     )
-    return judged.agg(r6(F.avg("hit")).alias("accuracy"), F.count("*").alias("n"))
+    return judged.agg(r6(F.lit(P.accuracy(judged))).alias("accuracy"), F.count("*").alias("n"))
 
 
 @query

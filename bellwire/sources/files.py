@@ -13,12 +13,19 @@ PRICE_SCHEMA = "date STRING, open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE,
 NEWS_SCHEMA = "news_time STRING, news_article STRING"
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A header CSV with a declared schema: no inference pass over the data."""
+def read_csv(
+    spark: SparkSession, path: str, schema: str, multi_line: bool = False, mode: str = "PERMISSIVE"
+) -> DataFrame:
+    """A header CSV with a declared schema: no inference pass over the data.
+
+    ``multi_line`` reads quoted line breaks; each file is then one task, so large tables
+    should be many files.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
-        .option("multiLine", False)
+        .option("multiLine", multi_line)
+        .option("mode", mode)
         .option("escape", '"')
         .csv(path)
     )
@@ -47,7 +54,8 @@ def read_prices_csv(spark: SparkSession, path: str, symbol: str) -> DataFrame:
 
 
 def read_news_csv(spark: SparkSession, path: str) -> DataFrame:
-    rows = read_csv(spark, path, NEWS_SCHEMA)
+    """News with line breaks inside quotes; a broken record fails the read."""
+    rows = read_csv(spark, path, NEWS_SCHEMA, multi_line=True, mode="FAILFAST")
     return rows.withColumn("news_time", S.naive_timestamp(F.col("news_time")))
 
 

@@ -45,14 +45,15 @@ def offset_audit(batch: DataFrame) -> DataFrame:
 def ingest_batch(path: str) -> Callable[[DataFrame, int], None]:
     """Sink of one micro-batch: accepted news, dead letters and offsets.
 
-    The work stays on the executors; the batch is kept while its parts are written.
+    The work stays on the executors; each message is parsed once, and the judged batch is kept
+    while its parts are written.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
+        kept = M.checked(batch).persist()
         try:
-            write_batch(M.clean_news(kept), f"{path}/news", batch_id)
-            write_batch(M.dead_letters(kept), f"{path}/dead_letters", batch_id)
+            write_batch(M.accepted(kept), f"{path}/news", batch_id)
+            write_batch(M.refused(kept), f"{path}/dead_letters", batch_id)
             if {"partition", "offset"} <= set(kept.columns):
                 write_batch(offset_audit(kept), f"{path}/offsets", batch_id)
         finally:
