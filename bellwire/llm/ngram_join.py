@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from bellwire.llm import spans
 from bellwire.llm.graph import components
-from bellwire.llm.token_order import TokenOrder, ordered_sets, token_order
+from bellwire.llm.token_order import TokenOrder, most_common, ordered_sets, signatures, token_order
 from bellwire.session import small_side, stored
 
 # Words of a shingle; documents link when 100 * intersection >= PERCENT * union.
@@ -205,14 +205,13 @@ def jaccard_links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame
         .select(F.col("_first.doc_id").alias("node"), "n", F.col("_first.prefix").alias("prefix"))
     )
     tokens = classes.select("node", "n", F.explode("prefix").alias("token")).repartition("token")
-    groups = tokens.groupBy("token").agg(F.count("*").alias("_df"), F.min("node").alias("pivot")).where("_df > 1")
-    shared = stored(tokens.join(groups, "token").select("token", "node", "n", "pivot"), "shared")
-    sizes = shared.select(F.col("node").alias("pivot"), F.col("n").alias("pivot_n")).distinct()
+    groups = tokens.groupBy("token").agg(F.count("*").alias("_df"), F.min(F.struct("node", "n")).alias("_first")).where("_df > 1")
+    kept = ["token", "node", "n", F.col("_first.node").alias("pivot"), F.col("_first.n").alias("pivot_n")]
+    shared = stored(tokens.join(groups, "token").select(*kept), "shared")
     stars = (
         shared.where("node <> pivot")
-        .groupBy("pivot", "node", "n")
+        .groupBy("pivot", "pivot_n", "node", "n")
         .agg(F.count("*").alias("common"))
-        .join(sizes, "pivot")
         # A first pass for close copies only; what it leaves out is compared below.
         .where(length_ok("n", "pivot_n") & (10 * F.col("common") >= 0.5 * F.col("n")))
         .select(F.col("pivot").alias("a"), F.col("node").alias("b"))
@@ -224,28 +223,30 @@ def jaccard_links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame
     # Tokens that stand in one component alone have nothing left to compare.
     mixed = named.groupBy("token").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi")
     rest = stored(named.join(mixed.select("token"), "token", "left_semi"), "rest")
-    # A class's tokens of this kind, so that a pair is made once and only with enough of them in common.
-    # Both sides of the join below read one exchange.
-    lists = rest.groupBy(F.col("node").alias("_node")).agg(F.collect_set("token").alias("all"))
-    full = rest.join(lists, F.col("node") == F.col("_node")).drop("_node").repartition("token")
-    x = full.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("all").alias("ta"))
-    y = full.select(
-        F.col("token").alias("_token"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("all").alias("tb")
+    # A pair is met once per common token. Signatures of fixed size, however long a document is, bound the
+    # number of common tokens before pairs are shuffled; then they are counted.
+    marked = rest.join(signatures(rest, "node"), "node").repartition("token")
+    x = marked.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("sign").alias("sa"))
+    y = marked.select(
+        F.col("token").alias("_token"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("sign").alias("sb")
     )
-    common = F.array_intersect("ta", "tb")
     # Common tokens beyond the shorter of both prefixes, at most.
     beyond = F.ceil(F.greatest("na", "nb") * PERCENT / 100) - 1
     needed = F.ceil((F.col("na") + F.col("nb")) * PERCENT / (100 + PERCENT))
-    pairs = x.join(
-        y,
-        (F.col("token") == F.col("_token"))
-        & (F.col("a") < F.col("b"))
-        & (F.col("ra") != F.col("rb"))
-        & length_ok("na", "nb")
-        & (F.least(F.size("ta"), F.size("tb")) + beyond >= needed)
-        & (F.size(common) + beyond >= needed)
-        & (F.array_min(common) == F.col("token")),
-    ).select("a", "b")
+    pairs = (
+        x.join(
+            y,
+            (F.col("token") == F.col("_token"))
+            & (F.col("a") < F.col("b"))
+            & (F.col("ra") != F.col("rb"))
+            & length_ok("na", "nb")
+            & (most_common("sa", "sb") + beyond >= needed),
+        )
+        .groupBy("a", "b", (needed - beyond).alias("_least"))
+        .agg(F.count("*").alias("_common"))
+        .where("_common >= _least")
+        .select("a", "b")
+    )
     more = links_of(docs, stored(pairs, "pairs"), order, k)
     stars_of = groups_.select(F.col("node").alias("a"), F.col("root").alias("b"))
     return all_sets, components(more.unionByName(stars_of))

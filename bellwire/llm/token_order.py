@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bellwire.llm import spans
@@ -17,6 +17,8 @@ BLOCK_TOKENS = 4 << 20
 LEAST_IN_BLOCK = 6
 # Frequent tokens that the order knows; all others count as rare. Joins are exact for any order.
 KNOWN = 1 << 17
+# Cells of a signature, 64 to a number.
+SIGN_CELLS = 256
 
 
 @dataclass
@@ -88,3 +90,21 @@ def ordered_sets(
     new = np.ones(len(hashes), bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1])
     return hashes[new], owners[new]
+
+
+def signatures(rows: DataFrame, key: str) -> DataFrame:
+    """``key, sign``: how many tokens a key has in ``rows`` (``key``, ``token``), and the parity of their number in each cell."""
+    cell = F.pmod(F.xxhash64("token"), F.lit(SIGN_CELLS)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), cell % 64)
+    none = F.lit(0).cast("long")
+    parts = [F.bit_xor(F.when(F.floor(cell / 64) == w, bit).otherwise(none)).alias(f"w{w}") for w in range(SIGN_CELLS // 64)]
+    by_key = rows.groupBy(key).agg(F.count("*").alias("size"), *parts)
+    return by_key.select(key, F.struct("size", *[f"w{w}" for w in range(SIGN_CELLS // 64)]).alias("sign"))
+
+
+def most_common(a: str, b: str) -> Column:
+    """Upper bound of the common tokens of two signatures: a cell of unequal parity holds a token of one side alone."""
+    unequal = sum(
+        (F.bit_count(F.col(f"{a}.w{w}").bitwiseXOR(F.col(f"{b}.w{w}"))) for w in range(SIGN_CELLS // 64)), F.lit(0)
+    )
+    return F.floor((F.col(f"{a}.size") + F.col(f"{b}.size") - unequal) / 2)
