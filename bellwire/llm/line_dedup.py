@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bellwire.llm import spans
-from bellwire.llm.token_order import TokenOrder, ordered_sets, token_order
+from bellwire.llm.token_order import TokenOrder, most_common, ordered_sets, signatures, token_order
 from bellwire.session import small_side, stored
 
 # Lines match when 100 * intersection >= PERCENT * union of their distinct shingles of WORDS words.
@@ -149,24 +149,27 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
         .distinct()
     )
     settled_ = stored(matched(docs, stored(first, "line-pairs")), "matched")
-    # Each line's shared prefix tokens, so that a pair is made once and only with enough of them in common.
-    lists = shared.groupBy(F.col("ref").alias("_ref")).agg(F.collect_set("token").alias("all"))
-    full = stored(shared.join(lists, F.col("ref") == F.col("_ref")).drop("_ref"), "shared-lists")
+    # A pair is met once per common token. Signatures of fixed size, however long a line is, bound the
+    # number of common tokens before pairs are shuffled; then they are counted.
+    full = stored(shared.join(signatures(shared, "ref"), "ref"), "signed-words")
     open_ = full.join(small_side(settled_), full["ref"] == F.col("later"), "left_anti").where(F.col("ref") > F.col("pivot.ref"))
-    x = full.select("token", F.col("ref").alias("earlier"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("all").alias("others"))
-    y = open_.select("token", F.col("ref").alias("later"), "n", "i", "all")
-    common = F.array_intersect("all", "others")
+    x = full.select("token", F.col("ref").alias("earlier"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("sign").alias("other"))
+    y = open_.select(F.col("token").alias("_token"), F.col("ref").alias("later"), "n", "i", "sign")
     beyond = F.ceil(F.greatest("n", "m") * PERCENT / 100) - 1
     needed = F.ceil((F.col("n") + F.col("m")) * PERCENT / (100 + PERCENT))
-    second = x.join(
-        y.withColumnRenamed("token", "_token"),
-        (F.col("token") == F.col("_token"))
-        & (F.col("earlier") < F.col("later"))
-        & could_match(F.col("n"), F.col("m"), F.col("i"), F.col("j"))
-        & (F.least(F.size("all"), F.size("others")) + beyond >= needed)
-        & (F.size(common) + beyond >= needed)
-        & (F.array_min(common) == F.col("token")),
-    ).select("earlier", "later")
+    second = (
+        x.join(
+            y,
+            (F.col("token") == F.col("_token"))
+            & (F.col("earlier") < F.col("later"))
+            & could_match(F.col("n"), F.col("m"), F.col("i"), F.col("j"))
+            & (most_common("sign", "other") + beyond >= needed),
+        )
+        .groupBy("earlier", "later", (needed - beyond).alias("_least"))
+        .agg(F.count("*").alias("_common"))
+        .where("_common >= _least")
+        .select("earlier", "later")
+    )
     more = matched(docs, stored(second, "line-pairs"))
     near = stored(settled_.union(more), "matched")
     verdict = classes.select("set_key", "n", F.col("ref").alias("_first")).join(
