@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from bellwire.llm import spans
 from bellwire.llm.graph import components
-from bellwire.llm.token_order import TokenOrder, most_common, ordered_sets, signatures, token_order
+from bellwire.llm.token_order import TokenOrder, ordered_sets, token_order
 from bellwire.session import small_side, stored
 
 # Words of a shingle; documents link when 100 * intersection >= PERCENT * union.
@@ -20,6 +20,8 @@ PERCENT = 85
 # Sets of one trie, and tokens of a node that are compared at once.
 TRIE_SETS = 256
 STEP = 64
+# Numbers of 64 cells in a set's signature: the parity of how many of its tokens fall in each cell.
+SIGN_WORDS = 16
 
 
 def shingles(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -47,7 +49,7 @@ def shingles(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def document_sets(docs: DataFrame, order: TokenOrder, k: int) -> DataFrame:
-    """``doc_id, n, set_key, prefix``: size and hash of each text's set, and its prefix in the global order."""
+    """``doc_id, n, set_key, prefix, sign``: size and hash of each text's set, its prefix in the global order, its signature."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in spans.chunks(batches, "text"):
@@ -56,7 +58,12 @@ def document_sets(docs: DataFrame, order: TokenOrder, k: int) -> DataFrame:
             sizes = np.bincount(rows, minlength=n)
             at = np.concatenate(([0], np.cumsum(sizes)))
             keys = np.zeros(n, np.uint64)
-            np.add.at(keys, rows, spans.mix(tokens))
+            mixed = spans.mix(tokens)
+            np.add.at(keys, rows, mixed)
+            sign = np.zeros(n * SIGN_WORDS, np.uint64)
+            word = (mixed >> np.uint64(6)) % np.uint64(SIGN_WORDS)
+            np.bitwise_xor.at(sign, rows * SIGN_WORDS + word.astype(np.int64), np.uint64(1) << (mixed & np.uint64(63)))
+            sign_at = np.arange(0, len(sign) + 1, SIGN_WORDS, dtype=np.int32)
             lengths = np.where(sizes > 0, sizes + (-PERCENT * sizes // 100) + 1, 0)
             place = np.arange(len(tokens)) - at[rows]
             prefix = spans.bit_equal(tokens[place < lengths[rows]])
@@ -67,11 +74,13 @@ def document_sets(docs: DataFrame, order: TokenOrder, k: int) -> DataFrame:
                     pa.array(sizes, pa.int64()),
                     pa.array(spans.bit_equal(keys)),
                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(prefix)),
+                    pa.ListArray.from_arrays(pa.array(sign_at), pa.array(spans.bit_equal(sign))),
                 ],
-                names=["doc_id", "n", "set_key", "prefix"],
+                names=["doc_id", "n", "set_key", "prefix", "sign"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(make, "doc_id long, n long, set_key long, prefix array<long>")
+    kinds = "doc_id long, n long, set_key long, prefix array<long>, sign array<long>"
+    return docs.select("doc_id", "text").mapInArrow(make, kinds)
 
 
 def chosen_sets(docs: DataFrame, nodes: DataFrame, order: TokenOrder, k: int) -> DataFrame:
@@ -179,9 +188,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("a_set"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("b_set"))
     rows = pairs.select("a", "b").join(right, "b").join(left, "a")
-    # Rebalancing splits a partner-rich ``a`` over tasks.
-    spread = rows.hint("rebalance", "a").sortWithinPartitions("a")
-    return stored(spread.mapInArrow(check, "a long, b long"), "links")
+    # A partner-rich ``a`` is split over tasks by adaptive execution; the sets aren't shuffled again for it.
+    return stored(rows.sortWithinPartitions("a").mapInArrow(check, "a long, b long"), "links")
 
 
 def jaccard_links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame]:
@@ -223,9 +231,10 @@ def jaccard_links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame
     # Tokens that stand in one component alone have nothing left to compare.
     mixed = named.groupBy("token").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi")
     rest = stored(named.join(mixed.select("token"), "token", "left_semi"), "rest")
-    # A pair is met once per common token. Signatures of fixed size, however long a document is, bound the
-    # number of common tokens before pairs are shuffled; then they are counted.
-    marked = rest.join(signatures(rest, "node"), "node").repartition("token")
+    # A pair is met once per common token. Signatures of fixed size, however long a document is, bound its
+    # overlap before it is shuffled; then its common tokens are counted.
+    signs = all_sets.where("n > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("node"), "n", "sign").distinct()
+    marked = rest.join(signs, ["node", "n"]).repartition("token")
     x = marked.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("sign").alias("sa"))
     y = marked.select(
         F.col("token").alias("_token"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("sign").alias("sb")
@@ -240,7 +249,7 @@ def jaccard_links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame
             & (F.col("a") < F.col("b"))
             & (F.col("ra") != F.col("rb"))
             & length_ok("na", "nb")
-            & (most_common("sa", "sb") + beyond >= needed),
+            & (most_common("na", "nb", "sa", "sb") >= needed),
         )
         .groupBy("a", "b", (needed - beyond).alias("_least"))
         .agg(F.count("*").alias("_common"))
@@ -252,6 +261,12 @@ def jaccard_links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame
     return all_sets, components(more.unionByName(stars_of))
 
 
+def most_common(na: str, nb: str, a: str, b: str):
+    """Upper bound of an overlap: a cell of unequal parity holds a token of one side alone."""
+    unequal = sum((F.bit_count(F.get(a, w).bitwiseXOR(F.get(b, w))) for w in range(SIGN_WORDS)), F.lit(0))
+    return F.floor((F.col(na) + F.col(nb) - unequal) / 2)
+
+
 def length_ok(a: str, b: str):
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
