@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bellwire.llm import spans
-from bellwire.llm.token_order import TokenOrder, most_common, ordered_sets, signatures, token_order
+from bellwire.llm.token_order import TokenOrder, first_common, most_common, needed, ordered_sets, parities, token_order
 from bellwire.session import small_side, stored
 
 # Lines match when 100 * intersection >= PERCENT * union of their distinct shingles of WORDS words.
 # Lines of fewer words have none and are never compared: short lines repeat by chance.
 PERCENT = 80
 WORDS = 5
+# Numbers of 64 cells in a line's signature: the parity of how many of its shingles fall in each cell.
+SIGN_WORDS = 4
 
 LINE = "struct<doc_id: long, line: int>"
 
@@ -49,7 +51,7 @@ def line_sets(texts: pa.Array, order: TokenOrder | None):
 
 
 def prefix_rows(docs: DataFrame, order: TokenOrder) -> DataFrame:
-    """``doc_id, line, n, set_key, prefix`` of each line with a shingle."""
+    """``doc_id, line, n, set_key, prefix, sign`` of each line with a shingle."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in spans.chunks(batches, "text"):
@@ -71,11 +73,13 @@ def prefix_rows(docs: DataFrame, order: TokenOrder) -> DataFrame:
                     pa.array(sizes[able], pa.int32()),
                     pa.array(spans.bit_equal(keys[able])),
                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(prefix)),
+                    parities(tokens, lines, len(rows), SIGN_WORDS).take(pa.array(able)),
                 ],
-                names=["doc_id", "line", "n", "set_key", "prefix"],
+                names=["doc_id", "line", "n", "set_key", "prefix", "sign"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(make, "doc_id long, line int, n int, set_key long, prefix array<long>")
+    kinds = "doc_id long, line int, n int, set_key long, prefix array<long>, sign array<long>"
+    return docs.select("doc_id", "text").mapInArrow(make, kinds)
 
 
 def sets_of(docs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -126,15 +130,15 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     1. Lines with equal sets form a class; all but its first line are duplicates of it.
     2. The first lines meet on the tokens of their prefixes, in the global order of rarity.
     3. A token's earliest line meets all others; what matches it is settled.
-    4. Lines that are left meet all earlier lines of their tokens. Length and position of each common
-       token, then the number of common prefix tokens, rule pairs out; the rest is verified.
+    4. Lines that are left meet all earlier lines of their tokens, where a token can be the first that both
+       have in common. Length, position and signatures rule pairs out; the rest is verified.
     """
     order = token_order(docs, lambda part: line_tokens(part["text"])[0])
     lines = stored(prefix_rows(docs, order), "lines")
     ref = F.struct("doc_id", "line")
     classes = stored(
-        lines.groupBy("set_key", "n").agg(F.min(F.struct("doc_id", "line", "prefix")).alias("_first"))
-        .select("set_key", "n", F.struct("_first.doc_id", "_first.line").alias("ref"), "_first.prefix"),
+        lines.groupBy("set_key", "n").agg(F.min(F.struct("doc_id", "line", "prefix", "sign")).alias("_first"))
+        .select("set_key", "n", F.struct("_first.doc_id", "_first.line").alias("ref"), "_first.prefix", "_first.sign"),
         "line-classes",
     )
     tokens = classes.select("ref", "n", F.posexplode("prefix").alias("i", "token")).repartition("token")
@@ -149,26 +153,21 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
         .distinct()
     )
     settled_ = stored(matched(docs, stored(first, "line-pairs")), "matched")
-    # A pair is met once per common token. Signatures of fixed size, however long a line is, bound the
-    # number of common tokens before pairs are shuffled; then they are counted.
-    full = stored(shared.join(signatures(shared, "ref"), "ref"), "signed-words")
-    open_ = full.join(small_side(settled_), full["ref"] == F.col("later"), "left_anti").where(F.col("ref") > F.col("pivot.ref"))
-    x = full.select("token", F.col("ref").alias("earlier"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("sign").alias("other"))
-    y = open_.select(F.col("token").alias("_token"), F.col("ref").alias("later"), "n", "i", "sign")
-    beyond = F.ceil(F.greatest("n", "m") * PERCENT / 100) - 1
-    needed = F.ceil((F.col("n") + F.col("m")) * PERCENT / (100 + PERCENT))
+    # Only a token that can be the first common one of a pair makes it. Signatures of fixed size, however long
+    # a line is, bound its overlap before it is shuffled.
+    full = shared.drop("pivot").join(classes.select("ref", "n", "sign"), ["ref", "n"]).repartition("token")
+    open_ = full.join(small_side(settled_), full["ref"] == F.col("later"), "left_anti")
     second = (
-        x.join(
-            y,
-            (F.col("token") == F.col("_token"))
-            & (F.col("earlier") < F.col("later"))
-            & could_match(F.col("n"), F.col("m"), F.col("i"), F.col("j"))
-            & (most_common("sign", "other") + beyond >= needed),
+        full.select(*[F.col(c).alias(f"{c}_x") for c in ("token", "ref", "n", "i", "sign")])
+        .join(
+            open_.select(*[F.col(c).alias(f"{c}_y") for c in ("token", "ref", "n", "i", "sign")]),
+            (F.col("token_x") == F.col("token_y"))
+            & (F.col("ref_x") < F.col("ref_y"))
+            & first_common("n_x", "n_y", "i_x", "i_y", PERCENT)
+            & (most_common("n_x", "n_y", "sign_x", "sign_y", SIGN_WORDS) >= needed("n_x", "n_y", PERCENT)),
         )
-        .groupBy("earlier", "later", (needed - beyond).alias("_least"))
-        .agg(F.count("*").alias("_common"))
-        .where("_common >= _least")
-        .select("earlier", "later")
+        .select(F.col("ref_x").alias("earlier"), F.col("ref_y").alias("later"))
+        .distinct()
     )
     more = matched(docs, stored(second, "line-pairs"))
     near = stored(settled_.union(more), "matched")

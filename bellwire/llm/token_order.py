@@ -17,8 +17,6 @@ BLOCK_TOKENS = 4 << 20
 LEAST_IN_BLOCK = 6
 # Frequent tokens that the order knows; all others count as rare. Joins are exact for any order.
 KNOWN = 1 << 17
-# Cells of a signature, 64 to a number.
-SIGN_CELLS = 256
 
 
 @dataclass
@@ -84,6 +82,10 @@ def ordered_sets(
         # One sort of numbers that hold the owner, the frequency class and the hash's upper bits.
         key = dense.astype(np.uint64) << np.uint64(44) | classes << np.uint64(35) | hashes >> np.uint64(29)
         at = np.argsort(key)
+        # Unequal tokens of equal upper bits must stand in the same order in every set.
+        tied = key[at[1:]] == key[at[:-1]]
+        if (hashes[at[1:]][tied] != hashes[at[:-1]][tied]).any():
+            at = np.lexsort((hashes, classes, dense))
     else:
         at = np.lexsort((hashes, classes, dense))
     hashes, owners = hashes[at], owners[at]
@@ -92,19 +94,31 @@ def ordered_sets(
     return hashes[new], owners[new]
 
 
-def signatures(rows: DataFrame, key: str) -> DataFrame:
-    """``key, sign``: how many tokens a key has in ``rows`` (``key``, ``token``), and the parity of their number in each cell."""
-    cell = F.pmod(F.xxhash64("token"), F.lit(SIGN_CELLS)).cast("int")
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), cell % 64)
-    none = F.lit(0).cast("long")
-    parts = [F.bit_xor(F.when(F.floor(cell / 64) == w, bit).otherwise(none)).alias(f"w{w}") for w in range(SIGN_CELLS // 64)]
-    by_key = rows.groupBy(key).agg(F.count("*").alias("size"), *parts)
-    return by_key.select(key, F.struct("size", *[f"w{w}" for w in range(SIGN_CELLS // 64)]).alias("sign"))
+def parities(tokens: np.ndarray, owners: np.ndarray, n: int, words: int) -> pa.ListArray:
+    """For each of ``n`` owners, ``words`` numbers of 64 cells: the parity of how many of its tokens fall in each."""
+    mixed = spans.mix(tokens)
+    sign = np.zeros(n * words, np.uint64)
+    word = (mixed >> np.uint64(6)) % np.uint64(words)
+    np.bitwise_xor.at(sign, owners * words + word.astype(np.int64), np.uint64(1) << (mixed & np.uint64(63)))
+    return pa.ListArray.from_arrays(
+        pa.array(np.arange(0, len(sign) + 1, words, dtype=np.int32)), pa.array(spans.bit_equal(sign))
+    )
 
 
-def most_common(a: str, b: str) -> Column:
-    """Upper bound of the common tokens of two signatures: a cell of unequal parity holds a token of one side alone."""
-    unequal = sum(
-        (F.bit_count(F.col(f"{a}.w{w}").bitwiseXOR(F.col(f"{b}.w{w}"))) for w in range(SIGN_CELLS // 64)), F.lit(0)
-    )
-    return F.floor((F.col(f"{a}.size") + F.col(f"{b}.size") - unequal) / 2)
+def most_common(n: str, m: str, a: str, b: str, words: int) -> Column:
+    """Upper bound of the overlap of sets of sizes ``n`` and ``m``: a cell of unequal parity holds a token of one side alone."""
+    unequal = sum((F.bit_count(F.get(a, w).bitwiseXOR(F.get(b, w))) for w in range(words)), F.lit(0))
+    return F.floor((F.col(n) + F.col(m) - unequal) / 2)
+
+
+def first_common(n: str, m: str, i: str, j: str, percent: int) -> Column:
+    """Whether places ``i`` and ``j`` can hold the first common token of sets that match.
+
+    All common tokens stand from the first one on, on both sides, so what is left must hold the overlap needed.
+    """
+    return F.least(F.col(n) - F.col(i), F.col(m) - F.col(j)) >= needed(n, m, percent)
+
+
+def needed(n: str, m: str, percent: int) -> Column:
+    """The overlap from which sets of sizes ``n`` and ``m`` match."""
+    return F.ceil((F.col(n) + F.col(m)) * percent / (100 + percent))
