@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from bellwire.llm import spans
 from bellwire.llm.graph import components
-from bellwire.llm.token_order import TokenOrder, ordered_sets, token_order
+from bellwire.llm.token_order import TokenOrder, first_common, most_common, needed, ordered_sets, parities, token_order
 from bellwire.session import small_side, stored
 
 # Words of a shingle; documents link when 100 * intersection >= PERCENT * union.
@@ -58,12 +58,7 @@ def document_sets(docs: DataFrame, order: TokenOrder, k: int) -> DataFrame:
             sizes = np.bincount(rows, minlength=n)
             at = np.concatenate(([0], np.cumsum(sizes)))
             keys = np.zeros(n, np.uint64)
-            mixed = spans.mix(tokens)
-            np.add.at(keys, rows, mixed)
-            sign = np.zeros(n * SIGN_WORDS, np.uint64)
-            word = (mixed >> np.uint64(6)) % np.uint64(SIGN_WORDS)
-            np.bitwise_xor.at(sign, rows * SIGN_WORDS + word.astype(np.int64), np.uint64(1) << (mixed & np.uint64(63)))
-            sign_at = np.arange(0, len(sign) + 1, SIGN_WORDS, dtype=np.int32)
+            np.add.at(keys, rows, spans.mix(tokens))
             lengths = np.where(sizes > 0, sizes + (-PERCENT * sizes // 100) + 1, 0)
             place = np.arange(len(tokens)) - at[rows]
             prefix = spans.bit_equal(tokens[place < lengths[rows]])
@@ -74,7 +69,7 @@ def document_sets(docs: DataFrame, order: TokenOrder, k: int) -> DataFrame:
                     pa.array(sizes, pa.int64()),
                     pa.array(spans.bit_equal(keys)),
                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(prefix)),
-                    pa.ListArray.from_arrays(pa.array(sign_at), pa.array(spans.bit_equal(sign))),
+                    parities(tokens, rows, n, SIGN_WORDS),
                 ],
                 names=["doc_id", "n", "set_key", "prefix", "sign"],
             )
@@ -199,8 +194,8 @@ def jaccard_links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame
     2. A class emits its prefix: sets that link share a token of it. Tokens of one class alone drop out.
     3. Each token's smallest class meets the others first. What links at once, mostly copies of one text,
        becomes one component before any other pairs are made.
-    4. Only classes of different components meet. A pair needs a size, and a number of common prefix tokens,
-       with which it could still link.
+    4. Only classes of different components meet, at tokens that can be the first they have in common. Their
+       signatures must leave room for the overlap that a link needs.
     5. Candidates are verified on whole sets in tries.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -212,9 +207,9 @@ def jaccard_links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame
         .agg(F.min(F.struct("doc_id", "prefix")).alias("_first"))
         .select(F.col("_first.doc_id").alias("node"), "n", F.col("_first.prefix").alias("prefix"))
     )
-    tokens = classes.select("node", "n", F.explode("prefix").alias("token")).repartition("token")
+    tokens = classes.select("node", "n", F.posexplode("prefix").alias("i", "token")).repartition("token")
     groups = tokens.groupBy("token").agg(F.count("*").alias("_df"), F.min(F.struct("node", "n")).alias("_first")).where("_df > 1")
-    kept = ["token", "node", "n", F.col("_first.node").alias("pivot"), F.col("_first.n").alias("pivot_n")]
+    kept = ["token", "node", "n", "i", F.col("_first.node").alias("pivot"), F.col("_first.n").alias("pivot_n")]
     shared = stored(tokens.join(groups, "token").select(*kept), "shared")
     stars = (
         shared.where("node <> pivot")
@@ -227,46 +222,36 @@ def jaccard_links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame
     first = links_of(docs, stored(stars, "stars"), order, k)
     groups_ = components(first)
     label = small_side(groups_)
-    named = shared.join(label, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root"))
+    named = shared.join(label, "node", "left").select("token", "node", "n", "i", F.coalesce("root", "node").alias("root"))
     # Tokens that stand in one component alone have nothing left to compare.
     mixed = named.groupBy("token").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi")
     rest = stored(named.join(mixed.select("token"), "token", "left_semi"), "rest")
-    # A pair is met once per common token. Signatures of fixed size, however long a document is, bound its
-    # overlap before it is shuffled; then its common tokens are counted.
+    # Only a token that can be the first common one of a pair makes it. Signatures of fixed size, however long
+    # a document is, bound its overlap before it is shuffled.
     signs = all_sets.where("n > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("node"), "n", "sign").distinct()
     marked = rest.join(signs, ["node", "n"]).repartition("token")
-    x = marked.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("sign").alias("sa"))
-    y = marked.select(
-        F.col("token").alias("_token"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("sign").alias("sb")
-    )
-    # Common tokens beyond the shorter of both prefixes, at most.
-    beyond = F.ceil(F.greatest("na", "nb") * PERCENT / 100) - 1
-    needed = F.ceil((F.col("na") + F.col("nb")) * PERCENT / (100 + PERCENT))
+
+    def side(k: str) -> DataFrame:
+        return marked.select(*[F.col(c).alias(f"{c}_{k}") for c in ("token", "node", "n", "i", "root", "sign")])
+
     pairs = (
-        x.join(
-            y,
-            (F.col("token") == F.col("_token"))
-            & (F.col("a") < F.col("b"))
-            & (F.col("ra") != F.col("rb"))
-            & length_ok("na", "nb")
-            & (most_common("na", "nb", "sa", "sb") >= needed),
+        side("a")
+        .join(
+            side("b"),
+            (F.col("token_a") == F.col("token_b"))
+            & (F.col("node_a") < F.col("node_b"))
+            & (F.col("root_a") != F.col("root_b"))
+            & first_common("n_a", "n_b", "i_a", "i_b", PERCENT)
+            & (most_common("n_a", "n_b", "sign_a", "sign_b", SIGN_WORDS) >= needed("n_a", "n_b", PERCENT)),
         )
-        .groupBy("a", "b", (needed - beyond).alias("_least"))
-        .agg(F.count("*").alias("_common"))
-        .where("_common >= _least")
-        .select("a", "b")
+        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+        .distinct()
     )
     more = links_of(docs, stored(pairs, "pairs"), order, k)
     stars_of = groups_.select(F.col("node").alias("a"), F.col("root").alias("b"))
     return all_sets, components(more.unionByName(stars_of))
 
 
-def most_common(na: str, nb: str, a: str, b: str):
-    """Upper bound of an overlap: a cell of unequal parity holds a token of one side alone."""
-    unequal = sum((F.bit_count(F.get(a, w).bitwiseXOR(F.get(b, w))) for w in range(SIGN_WORDS)), F.lit(0))
-    return F.floor((F.col(na) + F.col(nb) - unequal) / 2)
-
-
 def length_ok(a: str, b: str):
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
