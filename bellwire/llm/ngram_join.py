@@ -207,9 +207,12 @@ def jaccard_links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame
         .agg(F.min(F.struct("doc_id", "prefix")).alias("_first"))
         .select(F.col("_first.doc_id").alias("node"), "n", F.col("_first.prefix").alias("prefix"))
     )
-    tokens = classes.select("node", "n", F.posexplode("prefix").alias("i", "token")).repartition("token")
+    placed = F.transform(
+        "prefix", lambda t, i: F.struct(i.alias("i"), t.alias("token"), F.get("prefix", i - 1).alias("before"))
+    )
+    tokens = classes.select("node", "n", F.inline_outer(placed)).repartition("token")
     groups = tokens.groupBy("token").agg(F.count("*").alias("_df"), F.min(F.struct("node", "n")).alias("_first")).where("_df > 1")
-    kept = ["token", "node", "n", "i", F.col("_first.node").alias("pivot"), F.col("_first.n").alias("pivot_n")]
+    kept = ["token", "node", "n", "i", "before", F.col("_first.node").alias("pivot"), F.col("_first.n").alias("pivot_n")]
     shared = stored(tokens.join(groups, "token").select(*kept), "shared")
     stars = (
         shared.where("node <> pivot")
@@ -222,7 +225,7 @@ def jaccard_links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame
     first = links_of(docs, stored(stars, "stars"), order, k)
     groups_ = components(first)
     label = small_side(groups_)
-    named = shared.join(label, "node", "left").select("token", "node", "n", "i", F.coalesce("root", "node").alias("root"))
+    named = shared.join(label, "node", "left").select("token", "node", "n", "i", "before", F.coalesce("root", "node").alias("root"))
     # Tokens that stand in one component alone have nothing left to compare.
     mixed = named.groupBy("token").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi")
     rest = stored(named.join(mixed.select("token"), "token", "left_semi"), "rest")
@@ -232,7 +235,7 @@ def jaccard_links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame
     marked = rest.join(signs, ["node", "n"]).repartition("token")
 
     def side(k: str) -> DataFrame:
-        return marked.select(*[F.col(c).alias(f"{c}_{k}") for c in ("token", "node", "n", "i", "root", "sign")])
+        return marked.select(*[F.col(c).alias(f"{c}_{k}") for c in ("token", "node", "n", "i", "before", "root", "sign")])
 
     pairs = (
         side("a")
@@ -242,6 +245,8 @@ def jaccard_links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame
             & (F.col("node_a") < F.col("node_b"))
             & (F.col("root_a") != F.col("root_b"))
             & first_common("n_a", "n_b", "i_a", "i_b", PERCENT)
+            # Equal tokens just before: this one is not the first in common.
+            & F.coalesce(F.col("before_a") != F.col("before_b"), F.lit(True))
             & (most_common("n_a", "n_b", "sign_a", "sign_b", SIGN_WORDS) >= needed("n_a", "n_b", PERCENT)),
         )
         .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
