@@ -14,11 +14,9 @@ from bellwire.llm import spans
 from bellwire.llm.token_order import TokenOrder, first_common, most_common, needed, ordered_sets, parities, token_order
 from bellwire.session import small_side, stored
 
-# Lines match when 100 * intersection >= PERCENT * union of their distinct shingles of WORDS words.
-# Lines of fewer words have none and are never compared: short lines repeat by chance.
+# Lines match when 100 * intersection >= PERCENT * union of their distinct words.
 PERCENT = 80
-WORDS = 5
-# Numbers of 64 cells in a line's signature: the parity of how many of its shingles fall in each cell.
+# Numbers of 64 cells in a line's signature: the parity of how many of its words fall in each cell.
 SIGN_WORDS = 4
 
 LINE = "struct<doc_id: long, line: int>"
@@ -37,21 +35,14 @@ def line_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return spans.span_hashes(data, starts, ends), lines, rows, numbers
 
 
-def line_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All word shingles of all lines: hash and line of each; then row and number of each line."""
-    hashes, lines, rows, numbers = line_words(texts)
-    grams, first = spans.gram_hashes(hashes, lines, WORDS)
-    return grams, lines[first], rows, numbers
-
-
 def line_sets(texts: pa.Array, order: TokenOrder | None):
-    """Distinct shingles of each line, in the global order: tokens, their line; row and number of each line."""
-    grams, lines, rows, numbers = line_tokens(texts)
-    return *ordered_sets(grams, lines, order), rows, numbers
+    """Distinct words of each line, in the global order: tokens, their line; row and number of each line."""
+    hashes, lines, rows, numbers = line_words(texts)
+    return *ordered_sets(hashes, lines, order), rows, numbers
 
 
 def prefix_rows(docs: DataFrame, order: TokenOrder) -> DataFrame:
-    """``doc_id, line, n, set_key, prefix, sign`` of each line with a shingle."""
+    """``doc_id, line, n, set_key, prefix, sign`` of each line with a word."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in spans.chunks(batches, "text"):
@@ -83,7 +74,7 @@ def prefix_rows(docs: DataFrame, order: TokenOrder) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """``ref, words``: the distinct shingles of the lines asked for (column ``ref``), stored."""
+    """``ref, words``: the distinct words of the lines asked for (column ``ref``), stored."""
     asked = lines.groupBy(F.col("ref.doc_id").alias("_id")).agg(F.collect_set("ref.line").alias("_lines"))
     wanted = docs.join(small_side(asked), F.col("doc_id") == F.col("_id")).select("doc_id", "_lines", "text")
 
@@ -133,7 +124,7 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     4. Lines that are left meet all earlier lines of their tokens, where a token can be the first that both
        have in common. Length, position and signatures rule pairs out; the rest is verified.
     """
-    order = token_order(docs, lambda part: line_tokens(part["text"])[0])
+    order = token_order(docs, lambda part: line_words(part["text"])[0])
     lines = stored(prefix_rows(docs, order), "lines")
     ref = F.struct("doc_id", "line")
     classes = stored(
@@ -146,12 +137,19 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
         F.count("*").alias("_df"), F.min(F.struct("ref", "n", "i")).alias("pivot")
     ).where("_df > 1").drop("_df")
     shared = stored(tokens.join(groups, "token"), "shared-words")
-    first = (
+    pivoted = (
         shared.where(F.col("ref") > F.col("pivot.ref"))
         .where(could_match(F.col("n"), F.col("pivot.n"), F.col("i"), F.col("pivot.i")))
         .select(F.col("pivot.ref").alias("earlier"), F.col("ref").alias("later"))
         .distinct()
     )
+    x, y = ([F.col(c).alias(f"{c}_{side}") for c in ("n", "sign")] for side in "xy")
+    first = (
+        pivoted.join(classes.select(F.col("ref").alias("later"), *y), "later")
+        .join(classes.select(F.col("ref").alias("earlier"), *x), "earlier")
+        .where(most_common("n_x", "n_y", "sign_x", "sign_y", SIGN_WORDS) >= needed("n_x", "n_y", PERCENT))
+        .select("earlier", "later")
+    )
     settled_ = stored(matched(docs, stored(first, "line-pairs")), "matched")
     # Only a token that can be the first common one of a pair makes it. Signatures of fixed size, however long
     # a line is, bound its overlap before it is shuffled.
@@ -210,7 +208,7 @@ def dedup_report(docs: DataFrame) -> DataFrame:
     """``doc_id, n_lines, n_removed, text`` of every document.
 
     Lines are what stands between line feeds; their words stand between white space, A-Z
-    lower-cased; a line is the set of its shingles of ``WORDS`` words. Lines of fewer words stay. Whether an earlier line is
+    lower-cased; a line is the set of its words, and one without words stays. Whether an earlier line is
     itself removed doesn't matter. A null text stays null and counts one empty line; an empty table gives
     no rows. ``doc_id`` names a document: rows that repeat an id lose the same lines; rows without an id stay.
     """
