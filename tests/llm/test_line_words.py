@@ -44,3 +44,8 @@ def test_changed_inner_words(spark):
     assert got == duplicate_lines(docs) and len(got) > 100
     line = [f"v{x}" for x in range(20)]
     assert found(spark, [(1, " ".join(line)), (2, " ".join([*line[:10], "other", *line[11:]]))]) == {(2, 0)}
+
+
+def test_lines_of_a_few_words(spark):
+    docs = [(1, "Share\nPage 1 of 2\n\n \t"), (2, "share\n\npage 1 OF 2\nShare this"), (3, "a b c d\na b c d e\nx")]
+    assert found(spark, docs) == duplicate_lines(docs) == {(2, 0), (2, 2), (3, 1)}
