@@ -17,12 +17,12 @@ from bellwire.session import small_side, stored
 # Lines match when 100 * intersection >= PERCENT * union of their distinct words.
 PERCENT = 80
 # Numbers of 64 cells in a line's signature: the parity of how many of its words fall in each cell.
-SIGN_WORDS = 4
+SIGN_WORDS = 2
 
 LINE = "struct<doc_id: long, line: int>"
 
 
-def line_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def line_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of all lines: hash and line of each; then row and number (from 0) of each line."""
     data, at = spans.text_bytes(texts)
     data = spans.LOWER[data]
@@ -37,7 +37,7 @@ def line_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 
 def line_sets(texts: pa.Array, order: TokenOrder | None):
     """Distinct words of each line, in the global order: tokens, their line; row and number of each line."""
-    hashes, lines, rows, numbers = line_words(texts)
+    hashes, lines, rows, numbers = line_tokens(texts)
     return *ordered_sets(hashes, lines, order), rows, numbers
 
 
@@ -104,6 +104,11 @@ def could_match(n: Column, m: Column, i: Column, j: Column) -> Column:
     return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & ((100 + PERCENT) * most >= PERCENT * (n + m))
 
 
+def overlapping() -> Column:
+    """Whether the signatures of two lines (columns of ``_x`` and ``_y``) let their overlap be large enough."""
+    return most_common("n_x", "n_y", "sign_x", "sign_y", SIGN_WORDS) >= needed("n_x", "n_y", PERCENT)
+
+
 def matched(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Distinct ``later`` lines of the pairs (``earlier``, ``later``) whose Jaccard similarity is high enough."""
     lines = pairs.select(F.col("earlier").alias("ref")).union(pairs.select(F.col("later").alias("ref"))).distinct()
@@ -124,7 +129,7 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     4. Lines that are left meet all earlier lines of their tokens, where a token can be the first that both
        have in common. Length, position and signatures rule pairs out; the rest is verified.
     """
-    order = token_order(docs, lambda part: line_words(part["text"])[0])
+    order = token_order(docs, lambda part: line_tokens(part["text"])[0])
     lines = stored(prefix_rows(docs, order), "lines")
     ref = F.struct("doc_id", "line")
     classes = stored(
@@ -132,37 +137,34 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
         .select("set_key", "n", F.struct("_first.doc_id", "_first.line").alias("ref"), "_first.prefix", "_first.sign"),
         "line-classes",
     )
-    tokens = classes.select("ref", "n", F.posexplode("prefix").alias("i", "token")).repartition("token")
-    groups = tokens.groupBy("token").agg(
-        F.count("*").alias("_df"), F.min(F.struct("ref", "n", "i")).alias("pivot")
-    ).where("_df > 1").drop("_df")
-    shared = stored(tokens.join(groups, "token"), "shared-words")
-    pivoted = (
-        shared.where(F.col("ref") > F.col("pivot.ref"))
-        .where(could_match(F.col("n"), F.col("pivot.n"), F.col("i"), F.col("pivot.i")))
-        .select(F.col("pivot.ref").alias("earlier"), F.col("ref").alias("later"))
-        .distinct()
-    )
-    x, y = ([F.col(c).alias(f"{c}_{side}") for c in ("n", "sign")] for side in "xy")
+    # Signatures of fixed size, however long a line is, go with the tokens, so that no pair is made only to fail them.
+    held = ("ref", "n", "i", "sign")
+    tokens = classes.select("ref", "n", "sign", F.posexplode("prefix").alias("i", "token")).select("token", *held)
+    dealt = tokens.repartition("token")
+    groups = dealt.groupBy("token").agg(F.count("*").alias("_df"), F.min(F.struct(*held)).alias("pivot"))
     first = (
-        pivoted.join(classes.select(F.col("ref").alias("later"), *y), "later")
-        .join(classes.select(F.col("ref").alias("earlier"), *x), "earlier")
-        .where(most_common("n_x", "n_y", "sign_x", "sign_y", SIGN_WORDS) >= needed("n_x", "n_y", PERCENT))
-        .select("earlier", "later")
+        dealt.join(groups.where("_df > 1").drop("_df"), "token")
+        .select(*[F.col(f"pivot.{c}").alias(f"{c}_x") for c in held], *[F.col(c).alias(f"{c}_y") for c in held])
+        # One condition of both sides, so that both read the same exchange.
+        .where(F.when(F.col("ref_x") < F.col("ref_y"), could_match(F.col("n_y"), F.col("n_x"), F.col("i_y"), F.col("i_x")) & overlapping()))
+        .select(F.col("ref_x").alias("earlier"), F.col("ref_y").alias("later"))
+        .distinct()
     )
     settled_ = stored(matched(docs, stored(first, "line-pairs")), "matched")
-    # Only a token that can be the first common one of a pair makes it. Signatures of fixed size, however long
-    # a line is, bound its overlap before it is shuffled.
-    full = shared.drop("pivot").join(classes.select("ref", "n", "sign"), ["ref", "n"]).repartition("token")
-    open_ = full.join(small_side(settled_), full["ref"] == F.col("later"), "left_anti")
+    # Only a token that can be the first common one of a pair makes it. Settled lines have their places negated and are
+    # told apart in a condition of both sides, so that both read the same exchange.
+    gone_ = small_side(settled_.select(F.col("later").alias("ref"), F.lit(True).alias("_settled")))
+    place = F.when(F.col("_settled"), -1 - F.col("i")).otherwise(F.col("i"))
+    full = tokens.join(gone_, "ref", "left").withColumn("i", place).select("token", *held).repartition("token")
+    x, y = (full.select(*[F.col(c).alias(f"{c}_{side}") for c in ("token", *held)]) for side in "xy")
     second = (
-        full.select(*[F.col(c).alias(f"{c}_x") for c in ("token", "ref", "n", "i", "sign")])
+        x.withColumn("i_x", F.greatest("i_x", -1 - F.col("i_x")))
         .join(
-            open_.select(*[F.col(c).alias(f"{c}_y") for c in ("token", "ref", "n", "i", "sign")]),
+            y,
             (F.col("token_x") == F.col("token_y"))
             & (F.col("ref_x") < F.col("ref_y"))
             & first_common("n_x", "n_y", "i_x", "i_y", PERCENT)
-            & (most_common("n_x", "n_y", "sign_x", "sign_y", SIGN_WORDS) >= needed("n_x", "n_y", PERCENT)),
+            & F.when(F.col("i_y") >= 0, overlapping()),
         )
         .select(F.col("ref_x").alias("earlier"), F.col("ref_y").alias("later"))
         .distinct()
