@@ -43,7 +43,10 @@ BASE_RULES = [
 # The method's own rules, for URLs that no base rule fits: advertising, sign-in and search pages.
 OWN_RULES = [
     UrlRule("doubleclick", "block", r"^([^/]*\.)?doubleclick\.[a-z]+/", ("doubleclick",)),
-    UrlRule("ads", "block", r"^(ads?|adserver|track)\.", ("ads",)),
+    UrlRule("ad", "block", r"^ad\.", ("ad",)),
+    UrlRule("ads", "block", r"^ads\.", ("ads",)),
+    UrlRule("adserver", "block", r"^adserver\.", ("adserver",)),
+    UrlRule("track", "block", r"^track\.", ("track",)),
     UrlRule("login", "block", r"^[^/]+/(.*/)?login([/.]|$)", ("login",)),
     UrlRule("signup", "block", r"^[^/]+/(.*/)?signup([/.]|$)", ("signup",)),
     UrlRule("search", "block", r"^[^/]+/search([/.]|$)", ("search",)),
