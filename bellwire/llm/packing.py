@@ -39,14 +39,14 @@ class WordIds:
 
     The vocabulary drops white space and never joins over it, so a text's ids are those of
     its words. Words of ASCII and Latin letters go straight to the merge table; all other
-    words go through the whole tokenizer.
+    words, and those that hold an added token's text, go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         rest = (b for b in range(256) if b not in set(_PRINTED))
         self.chars = {b: chr(b) for b in _PRINTED} | {b: chr(256 + k) for k, b in enumerate(rest)}
@@ -60,10 +60,11 @@ class WordIds:
         self.starts, self.used = [0], 0
 
     def word(self, text: str) -> list[int]:
-        if not self.plain.match(text):
+        lower = text.lower()
+        if not self.plain.match(text) or any(t in lower for t in self.special):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
         out: list[int] = []
-        for part in self.split.findall(text.lower()):
+        for part in self.split.findall(lower):
             ids = self.parts.get(part)
             if ids is None:
                 ids = [t.id for t in self.model.tokenize("".join([self.chars[b] for b in part.encode()]))]
