@@ -43,4 +43,53 @@ SELECT page_id, host, path, rule,
 FROM b
 """
 
-ORACLES: dict[str, str] = {"op9_warc": OP9, "op10_url_filter": OP10}
+OP11 = """
+WITH v AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    [floor(256 * CAST(y AS DOUBLE)) FOR y IN embedding] AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([y FOR y IN embedding IF y IS NULL OR NOT isfinite(y)]) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_dot_product(a.x, c.x) AS BIGINT) AS score
+  FROM v AS a JOIN v AS c ON a.vec_id <> c.vec_id AND len(a.x) = len(c.x)
+  WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+# Each control string in a role or text costs one character more; a turn's marks take 20.
+OP13 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), c AS (
+  SELECT *, length(regexp_replace(role, '([<\[])(\\*)(/?s>|/?INST\])', '\1+\2\3', 'g'))
+    + length(regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\])', '\1+\2\3', 'g')) + 20 AS n
+  FROM t
+), g AS (
+  SELECT conv_id, count(*) AS n_turns, sum(n) AS n,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS loss
+  FROM c GROUP BY conv_id
+)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars,
+  sha256(loss) AS loss_sha256, CAST(n AS BIGINT) AS formatted_chars
+FROM g
+"""
+
+ORACLES: dict[str, str] = {
+    "op9_warc": OP9,
+    "op10_url_filter": OP10,
+    "op11_hard_negatives": OP11,
+    "op13_chat_format": OP13,
+}

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 import re
+import zlib
 from collections import Counter
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -106,3 +108,61 @@ def without_lines(docs):
         i: None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in gone)
         for i, t in docs
     }
+
+
+def hard_negatives(rows):
+    """(anchor, positive, rank, negative, positive's score, negative's score) of rows (vec_id, label, vector)."""
+    able = []
+    for i, label, x in rows:
+        if i is None or label is None or x is None or any(v is None or not math.isfinite(v) for v in x):
+            continue
+        able.append((i, (label + 1) % 10 if i % 7 == 0 else label, [math.floor(256 * v) for v in x]))
+    found = []
+    for a, label, x in (r for r in able if r[0] % 100 == 0):
+        scored = sorted(
+            (-sum(p * q for p, q in zip(x, y)), i, other) for i, other, y in able if i != a and len(y) == len(x)
+        )
+        same = [(i, -s) for s, i, other in scored if other == label][:5]
+        for positive, p in same:
+            hard = [(i, -s) for s, i, other in scored if other != label and 30 * p <= -100 * s <= 90 * p][:10]
+            found += [(a, positive, k, i, p, s) for k, (i, s) in enumerate(hard, 1)]
+    return found
+
+
+def rebuilt(rows):
+    """conv_id: turns (role, text) of rows (conv_id, turn, role, text), families mixed."""
+    own = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            own.setdefault(c, []).append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(ts)] for c, ts in own.items()}
+    out = {}
+    for c, ts in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        out[c] = own.get(c - c % 5, [])[:h] + ts[h:]
+    return out
+
+
+def prefix_trie(rows):
+    """Rows of the trie's nodes: the operator's columns in order."""
+    members, ends = {}, {}
+    for c, ts in rebuilt(rows).items():
+        ends.setdefault(tuple(ts), []).append(c)
+        for d in range(len(ts) + 1):
+            members.setdefault(tuple(ts[:d]), []).append(c)
+    leaves, saved, children = Counter(), Counter(), Counter()
+    for path in members:
+        if path:
+            children[path[:-1]] += 1
+    for path, cs in members.items():
+        own = (len(cs) - 1) * len(path[-1][1].encode()) if path else 0
+        for d in range(len(path) + 1):
+            leaves[path[:d]] += path not in children
+            saved[path[:d]] += own
+    return [
+        (
+            min(cs), len(p), min(members[p[:-1]]) if p else None, len(cs), children[p], leaves[p], saved[p],
+            hashlib.sha256(",".join(map(str, sorted(ends.get(p, [])))).encode()).hexdigest(),
+        )
+        for p, cs in members.items()
+    ]

@@ -78,7 +78,7 @@ def empty(spark, schema=SCHEMA):
 
 
 def test_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
