@@ -88,18 +88,21 @@ def quality(text):
 
 
 def duplicate_lines(docs):
-    """(doc_id, line) of lines with an earlier match."""
+    """(doc_id, line) of lines with an earlier match: their distinct words, A-Z lower-cased, have a Jaccard similarity of 0.8."""
     rows = [
-        (i, n, shingles(line, 5) if len(SPACED.findall(line)) >= 5 else frozenset())
+        (i, n, frozenset(SPACED.findall(line.translate(LOWER))))
         for i, text in sorted(dict(docs).items())
         for n, line in enumerate((text or "").split("\n"))
     ]
-    rows = [r for r in rows if r[2]]
-    return {
-        (i, n)
-        for k, (i, n, x) in enumerate(rows)
-        if any(100 * len(x & y) >= 80 * len(x | y) for _, _, y in rows[:k])
-    }
+    firsts, found = {}, set()
+    for i, n, x in rows:
+        if not x:
+            continue
+        # Equal lines match their first; others are compared with the first line of each set.
+        if x in firsts or any(5 * len(x & y) >= 4 * len(x | y) for y in firsts if 4 * len(x) <= 5 * len(y) and 4 * len(y) <= 5 * len(x)):
+            found.add((i, n))
+        firsts.setdefault(x, (i, n))
+    return found
 
 
 def without_lines(docs):

@@ -248,7 +248,6 @@ def check_packing(df, rows):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(word_bpe())
-    tokenizer.encode_special_tokens = True
     ids = defaultdict(list)
     for i, t in rows:
         ids[i].append(tokenizer.encode(t or "", add_special_tokens=False).ids + [2])
