@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,15 +12,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bellwire.llm import spans
-from bellwire.llm.token_order import TokenOrder, first_common, most_common, needed, ordered_sets, parities, token_order
+from bellwire.llm.token_order import TokenOrder, needed, ordered_sets, parities, token_order
 from bellwire.session import small_side, stored
 
 # Lines match when 100 * intersection >= PERCENT * union of their distinct words.
 PERCENT = 80
 # Numbers of 64 cells in a line's signature: the parity of how many of its words fall in each cell.
 SIGN_WORDS = 2
+SIGN = [f"s{w}" for w in range(SIGN_WORDS)]
 
-LINE = "struct<doc_id: long, line: int>"
+# A line's place: its number, then 32 bits that tell texts of one id apart.
+LINE = "struct<doc_id: long, line: long>"
+TEXT_BITS = (1 << 32) - 1
+
+
+def text_checks(texts: pa.Array) -> np.ndarray:
+    """CRC-32 of each text, as Spark's ``crc32`` has it; 0 for a null one."""
+    data, at = spans.text_bytes(texts)
+    raw = memoryview(data.tobytes())
+    return np.array([zlib.crc32(raw[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())], np.int64)
+
+
+def text_check() -> Column:
+    return F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0).cast("long"))
 
 
 def line_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -42,7 +57,7 @@ def line_sets(texts: pa.Array, order: TokenOrder | None):
 
 
 def prefix_rows(docs: DataFrame, order: TokenOrder) -> DataFrame:
-    """``doc_id, line, n, set_key, prefix, sign`` of each line with a word."""
+    """``doc_id, line, n, set_key, prefix, s0, s1`` of each line with a word; ``line`` is its place, ``s0`` and ``s1`` its signature."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in spans.chunks(batches, "text"):
@@ -57,38 +72,43 @@ def prefix_rows(docs: DataFrame, order: TokenOrder) -> DataFrame:
             place = np.arange(len(tokens)) - at[lines]
             prefix = spans.bit_equal(tokens[place < lengths[lines]])
             bounds = np.concatenate(([0], np.cumsum(lengths[able]))).astype(np.int32)
+            sign = parities(tokens, lines, len(rows), SIGN_WORDS).flatten().to_numpy().reshape(-1, SIGN_WORDS)[able]
             yield pa.record_batch(
                 [
                     part["doc_id"].take(pa.array(rows[able])),
-                    pa.array(numbers[able], pa.int32()),
+                    pa.array(numbers[able] << 32 | text_checks(part["text"])[rows[able]], pa.int64()),
                     pa.array(sizes[able], pa.int32()),
                     pa.array(spans.bit_equal(keys[able])),
                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(prefix)),
-                    parities(tokens, lines, len(rows), SIGN_WORDS).take(pa.array(able)),
+                    *[pa.array(sign[:, w]) for w in range(SIGN_WORDS)],
                 ],
-                names=["doc_id", "line", "n", "set_key", "prefix", "sign"],
+                names=["doc_id", "line", "n", "set_key", "prefix", *SIGN],
             )
 
-    kinds = "doc_id long, line int, n int, set_key long, prefix array<long>, sign array<long>"
+    kinds = "doc_id long, line long, n int, set_key long, prefix array<long>, s0 long, s1 long"
     return docs.select("doc_id", "text").mapInArrow(make, kinds)
 
 
 def sets_of(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """``ref, words``: the distinct words of the lines asked for (column ``ref``), stored."""
-    asked = lines.groupBy(F.col("ref.doc_id").alias("_id")).agg(F.collect_set("ref.line").alias("_lines"))
-    wanted = docs.join(small_side(asked), F.col("doc_id") == F.col("_id")).select("doc_id", "_lines", "text")
+    check = F.col("ref.line").bitwiseAND(F.lit(TEXT_BITS))
+    asked = lines.groupBy(F.col("ref.doc_id").alias("_id"), check.alias("_check")).agg(F.collect_set("ref.line").alias("_lines"))
+    mine = (F.col("doc_id") == F.col("_id")) & (text_check() == F.col("_check"))
+    wanted = docs.join(small_side(asked), mine).select("doc_id", "_lines", "text")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in spans.chunks(batches, "text"):
             tokens, lines, rows, numbers = line_sets(part["text"], None)
             at = np.concatenate(([0], np.cumsum(np.bincount(lines, minlength=len(rows)))))
             first = np.searchsorted(rows, np.arange(part.num_rows))
-            chosen = [first[i] + k for i, ks in enumerate(part["_lines"].to_pylist()) for k in ks]
+            asked_ = part["_lines"].to_pylist()
+            places = [k for ks in asked_ for k in ks]
+            chosen = [first[i] + (k >> 32) for i, ks in enumerate(asked_) for k in ks]
             signed = spans.bit_equal(tokens)
             words = pa.array([signed[at[k] : at[k + 1]] for k in chosen], pa.list_(pa.int64()))
             chosen = np.array(chosen, np.int64)
             ref = pa.StructArray.from_arrays(
-                [part["doc_id"].take(pa.array(rows[chosen])), pa.array(numbers[chosen], pa.int32())], ["doc_id", "line"]
+                [part["doc_id"].take(pa.array(rows[chosen])), pa.array(places, pa.int64())], ["doc_id", "line"]
             )
             yield pa.record_batch([ref, words], names=["ref", "words"])
 
@@ -105,8 +125,29 @@ def could_match(n: Column, m: Column, i: Column, j: Column) -> Column:
 
 
 def overlapping() -> Column:
-    """Whether the signatures of two lines (columns of ``_x`` and ``_y``) let their overlap be large enough."""
-    return most_common("n_x", "n_y", "sign_x", "sign_y", SIGN_WORDS) >= needed("n_x", "n_y", PERCENT)
+    """Whether the signatures of two lines (columns of ``_x`` and ``_y``) let their overlap be large enough.
+
+    A cell of unequal parity holds a word of one side alone.
+    """
+    unequal = sum((F.bit_count(F.col(f"{s}_x").bitwiseXOR(F.col(f"{s}_y"))) for s in SIGN), F.lit(0))
+    return F.floor((F.col("n_x") + F.col("n_y") - unequal) / 2) >= needed("n_x", "n_y", PERCENT)
+
+
+def earlier() -> Column:
+    """Whether the line of columns ``_x`` stands before that of ``_y``."""
+    first = F.col("doc_id_x") < F.col("doc_id_y")
+    return first | ((F.col("doc_id_x") == F.col("doc_id_y")) & (F.col("line_x") < F.col("line_y")))
+
+
+def placed(rows: DataFrame, at: str) -> DataFrame:
+    """``rows`` with the size ``n`` and place ``i`` that the number in ``at`` holds."""
+    return rows.withColumns(
+        {at.replace("at", "n"): F.shiftright(at, 32), at.replace("at", "i"): F.col(at).bitwiseAND(F.lit(0x7FFFFFFF))}
+    )
+
+
+def refs(side: str) -> Column:
+    return F.struct(F.col(f"doc_id_{side}").alias("doc_id"), F.col(f"line_{side}").alias("line"))
 
 
 def matched(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -121,7 +162,9 @@ def matched(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def duplicate_lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, line`` of every line that an earlier line matches; earlier by id, then by number.
+    """``doc_id, line, check`` of every line that an earlier line matches; earlier by id, then by number.
+
+    ``check`` is the text's CRC-32: of rows that repeat an id, only those with this text lose the line.
 
     1. Lines with equal sets form a class; all but its first line are duplicates of it.
     2. The first lines meet on the tokens of their prefixes, in the global order of rarity.
@@ -130,58 +173,78 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
        have in common. Length, position and signatures rule pairs out; the rest is verified.
     """
     order = token_order(docs, lambda part: line_tokens(part["text"])[0])
-    lines = stored(prefix_rows(docs, order), "lines")
-    ref = F.struct("doc_id", "line")
-    classes = stored(
-        lines.groupBy("set_key", "n").agg(F.min(F.struct("doc_id", "line", "prefix", "sign")).alias("_first"))
-        .select("set_key", "n", F.struct("_first.doc_id", "_first.line").alias("ref"), "_first.prefix", "_first.sign"),
-        "line-classes",
+    lines = stored(prefix_rows(docs, order).withColumn("row", F.monotonically_increasing_id()), "lines")
+    # Only the places of lines move to find equal sets; their prefixes stay where they are.
+    equal = lines.groupBy(F.col("set_key").alias("_key"), F.col("n").alias("_n"))
+    copies = equal.agg(F.count("*").alias("_times"), F.min(F.struct("doc_id", "line", "row")).alias("_first"))
+    copies = small_side(copies.where("_times > 1").drop("_times"))
+    tagged = lines.join(copies, (F.col("set_key") == F.col("_key")) & (F.col("n") == F.col("_n")), "left")
+    # Rows that repeat an id and a text have lines of one place.
+    other = (F.col("doc_id") != F.col("_first.doc_id")) | (F.col("line") != F.col("_first.line"))
+    copy = F.col("_first").isNotNull() & other
+    # Flat rows: size and place in one number, signatures of fixed size however long a line is.
+    held = ("doc_id", "line", "at", *SIGN)
+    at = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("i").cast("long")).alias("at")
+    tokens = (
+        tagged.where("coalesce(_first.row = row, true)")
+        .select("doc_id", "line", "n", *SIGN, F.posexplode("prefix").alias("i", "token"))
+        .select("token", "doc_id", "line", at, *SIGN)
     )
-    # Signatures of fixed size, however long a line is, go with the tokens, so that no pair is made only to fail them.
-    held = ("ref", "n", "i", "sign")
-    tokens = classes.select("ref", "n", "sign", F.posexplode("prefix").alias("i", "token")).select("token", *held)
     dealt = tokens.repartition("token")
     groups = dealt.groupBy("token").agg(F.count("*").alias("_df"), F.min(F.struct(*held)).alias("pivot"))
+    both = dealt.join(groups.where("_df > 1").drop("_df"), "token").select(
+        *[F.col(f"pivot.{c}").alias(f"{c}_x") for c in held], *[F.col(c).alias(f"{c}_y") for c in held]
+    )
     first = (
-        dealt.join(groups.where("_df > 1").drop("_df"), "token")
-        .select(*[F.col(f"pivot.{c}").alias(f"{c}_x") for c in held], *[F.col(c).alias(f"{c}_y") for c in held])
-        # One condition of both sides, so that both read the same exchange.
-        .where(F.when(F.col("ref_x") < F.col("ref_y"), could_match(F.col("n_y"), F.col("n_x"), F.col("i_y"), F.col("i_x")) & overlapping()))
-        .select(F.col("ref_x").alias("earlier"), F.col("ref_y").alias("later"))
+        placed(placed(both, "at_x"), "at_y")
+        .where(F.when(earlier(), could_match(F.col("n_y"), F.col("n_x"), F.col("i_y"), F.col("i_x")) & overlapping()))
+        .select(refs("x").alias("earlier"), refs("y").alias("later"))
         .distinct()
     )
     settled_ = stored(matched(docs, stored(first, "line-pairs")), "matched")
     # Only a token that can be the first common one of a pair makes it. Settled lines have their places negated and are
     # told apart in a condition of both sides, so that both read the same exchange.
-    gone_ = small_side(settled_.select(F.col("later").alias("ref"), F.lit(True).alias("_settled")))
-    place = F.when(F.col("_settled"), -1 - F.col("i")).otherwise(F.col("i"))
-    full = tokens.join(gone_, "ref", "left").withColumn("i", place).select("token", *held).repartition("token")
+    gone_ = small_side(settled_.select("later.doc_id", "later.line", F.lit(True).alias("_settled")))
+    place = F.when(F.col("_settled"), -1 - F.col("at")).otherwise(F.col("at"))
+    full = tokens.join(gone_, ["doc_id", "line"], "left").withColumn("at", place).select("token", *held).repartition("token")
     x, y = (full.select(*[F.col(c).alias(f"{c}_{side}") for c in ("token", *held)]) for side in "xy")
+    open_x, open_y = (F.greatest(f"at_{side}", -1 - F.col(f"at_{side}")) for side in "xy")
+
+    def of(column: Column, part: str) -> Column:
+        return F.shiftright(column, 32) if part == "n" else column.bitwiseAND(F.lit(0x7FFFFFFF))
+
+    unequal = sum((F.bit_count(F.col(f"{s}_x").bitwiseXOR(F.col(f"{s}_y"))) for s in SIGN), F.lit(0))
+    sizes = of(open_x, "n") + of(open_y, "n")
+    need = F.ceil(sizes * PERCENT / (100 + PERCENT))
+    left = F.least(of(open_x, "n") - of(open_x, "i"), of(open_y, "n") - of(open_y, "i"))
     second = (
-        x.withColumn("i_x", F.greatest("i_x", -1 - F.col("i_x")))
-        .join(
+        x.join(
             y,
             (F.col("token_x") == F.col("token_y"))
-            & (F.col("ref_x") < F.col("ref_y"))
-            & first_common("n_x", "n_y", "i_x", "i_y", PERCENT)
-            & F.when(F.col("i_y") >= 0, overlapping()),
+            & earlier()
+            & (left >= need)
+            & F.when(F.col("at_y") >= 0, F.floor((sizes - unequal) / 2) >= need),
         )
-        .select(F.col("ref_x").alias("earlier"), F.col("ref_y").alias("later"))
+        .select(refs("x").alias("earlier"), refs("y").alias("later"))
         .distinct()
     )
     more = matched(docs, stored(second, "line-pairs"))
-    near = stored(settled_.union(more), "matched")
-    verdict = classes.select("set_key", "n", F.col("ref").alias("_first")).join(
-        near.select(F.col("later").alias("_first"), F.lit(True).alias("_near")).distinct(), "_first", "left"
+    near = small_side(settled_.union(more).select("later.doc_id", "later.line").distinct())
+    late = lines.join(near, ["doc_id", "line"], "left_semi").select(F.col("set_key").alias("_k"), F.col("n").alias("_m"))
+    late = small_side(late.distinct().withColumn("_near", F.lit(True)))
+    judged = tagged.join(late, (F.col("set_key") == F.col("_k")) & (F.col("n") == F.col("_m")), "left")
+    return judged.where(copy | F.col("_near").isNotNull()).select(
+        "doc_id",
+        F.shiftright("line", 32).cast("int").alias("line"),
+        F.col("line").bitwiseAND(F.lit(TEXT_BITS)).alias("check"),
     )
-    gone = F.col("_near").isNotNull() | (ref != F.col("_first"))
-    return lines.drop("prefix").join(verdict, ["set_key", "n"]).where(gone).select("doc_id", "line")
 
 
 def remove_lines(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the lines ``gone`` (``doc_id``, ``line``), and the struct ``_n`` of ``lines`` and ``removed``."""
-    by_doc = gone.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("line").alias("_gone"))
-    joined = docs.join(small_side(by_doc), F.col("doc_id") == F.col("_id"), "left").drop("_id")
+    """``docs`` without the lines ``gone``, and the struct ``_n`` of ``lines`` and ``removed``."""
+    by_doc = gone.groupBy(F.col("doc_id").alias("_id"), F.col("check").alias("_check")).agg(F.collect_set("line").alias("_gone"))
+    mine = (F.col("doc_id") == F.col("_id")) & (text_check() == F.col("_check"))
+    joined = docs.join(small_side(by_doc), mine, "left").drop("_id", "_check")
     kind = pa.struct([("lines", pa.int64()), ("removed", pa.int64())])
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +275,8 @@ def dedup_report(docs: DataFrame) -> DataFrame:
     Lines are what stands between line feeds; their words stand between white space, A-Z
     lower-cased; a line is the set of its words, and one without words stays. Whether an earlier line is
     itself removed doesn't matter. A null text stays null and counts one empty line; an empty table gives
-    no rows. ``doc_id`` names a document: rows that repeat an id lose the same lines; rows without an id stay.
+    no rows. Rows that repeat an id and a text lose the same lines; of different texts with one id, lines with smaller
+    numbers are earlier. Rows without an id stay.
     """
     rewritten = remove_lines(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), duplicate_lines(narrowed(docs)))
     return rewritten.select("doc_id", F.col("_n.lines").alias("n_lines"), F.col("_n.removed").alias("n_removed"), "text")

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from bellwire.llm import line_dedup, ngram_join, token_order
 
@@ -13,13 +14,13 @@ def overlapping(words: int, texts: int) -> list[list[str]]:
     return [[w if rng.random() > i / (4 * texts) else f"x{i}{w}" for w in base] for i in range(texts)]
 
 
-def test_line_signature_bounds_common_shingles(spark):
+def test_line_signature_bounds_common_words(spark):
     for size in (6, 40, 900):
         texts = [" ".join(words) for words in overlapping(size, 6)]
-        grams = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+        grams = [set(t.split()) for t in texts]
         docs = spark.createDataFrame([(0, "\n".join(texts))], "doc_id LONG, text STRING")
         order = token_order.token_order(docs, lambda part: line_dedup.line_tokens(part["text"])[0])
-        lines = line_dedup.prefix_rows(docs, order).select("line", "n", "sign")
+        lines = line_dedup.prefix_rows(docs, order).select(F.shiftright("line", 32).alias("line"), "n", F.array(*line_dedup.SIGN))
         both = lines.toDF("a", "na", "sa").crossJoin(lines.toDF("b", "nb", "sb"))
         most = token_order.most_common("na", "nb", "sa", "sb", line_dedup.SIGN_WORDS)
         for r in both.select("a", "b", most.alias("most")).collect():
