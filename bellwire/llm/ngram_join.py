@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from bellwire.llm import spans
 from bellwire.llm.graph import components
 from bellwire.llm.token_order import TokenOrder, first_common, most_common, needed, ordered_sets, parities, token_order
+from bellwire.operators.scans import global_row_number
 from bellwire.session import small_side, stored
 
 # Words of a shingle; documents link when 100 * intersection >= PERCENT * union.
@@ -78,22 +79,69 @@ def document_sets(docs: DataFrame, order: TokenOrder, k: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(make, kinds)
 
 
+def wide_sign(tokens: np.ndarray) -> bytes:
+    """Parities of about as many cells as a set has tokens: which cells hold an odd number of them.
+
+    The number of cells is a power of two, so that a signature folds onto a shorter one.
+    """
+    cells = 1 << max(10, int(len(tokens) - 1).bit_length()) if len(tokens) else 1 << 10
+    at = (spans.mix(tokens) >> np.uint64(20)) & np.uint64(cells - 1)
+    odd = np.bincount(at.astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def overlap_bound(n: int, m: int, x: bytes, y: bytes) -> int:
+    """The most tokens that two sets can have in common: a cell of unequal parity holds a token of one side alone."""
+    a, b = (np.frombuffer(v, np.uint64) for v in (x, y))
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return (n + m - int(np.bitwise_count(a ^ b).sum())) // 2
+
+
 def chosen_sets(docs: DataFrame, nodes: DataFrame, order: TokenOrder, k: int) -> DataFrame:
-    """``node, tokens``: whole ordered sets of the documents in ``nodes`` only, stored."""
+    """``node, n, wide, tokens``: whole ordered sets of the documents in ``nodes`` only and their wide signatures, stored."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in spans.chunks(batches, "text"):
             tokens, rows = ordered_sets(*shingles(part["text"], k), order)
-            raw = tokens.tobytes()
-            at = np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=part.num_rows)))) * 8
-            sets = [raw[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-            yield pa.record_batch([part["doc_id"], pa.array(sets, pa.binary())], names=["node", "tokens"])
+            at = np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=part.num_rows))))
+            sets = [tokens[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+            yield pa.record_batch(
+                [
+                    part["doc_id"], pa.array(np.diff(at), pa.int64()), pa.array([wide_sign(x) for x in sets], pa.binary()),
+                    pa.array([x.tobytes() for x in sets], pa.binary()),
+                ],
+                names=["node", "n", "wide", "tokens"],
+            )
 
     wanted = docs.join(small_side(nodes), F.col("doc_id") == F.col("node"), "left_semi")
-    sets = wanted.select("doc_id", "text").mapInArrow(make, "node long, tokens binary")
+    sets = wanted.select("doc_id", "text").mapInArrow(make, "node long, n long, wide binary, tokens binary")
     return stored(sets, "sets")
 
 
+def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose wide signatures leave room for the overlap that a link needs.
+
+    A signature takes a bit per token, a set eight bytes: what only shares some tokens goes before sets are sent.
+    """
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch[c].to_pylist() for c in ("n_a", "n_b", "wide_a", "wide_b"))
+            most = [overlap_bound(*row) for row in zip(*columns)]
+            n, m = (batch[c].to_numpy().astype(np.int64) for c in ("n_a", "n_b"))
+            both = np.array(most, np.int64)
+            open_ = pa.array(100 * both >= PERCENT * (n + m - both))
+            yield pa.record_batch([batch["a"].filter(open_), batch["b"].filter(open_)], names=["a", "b"])
+
+    signs = sets.select("node", "n", "wide").distinct()
+    a, b = (signs.toDF(side, f"n_{side}", f"wide_{side}") for side in "ab")
+    rows = pairs.select("a", "b").join(a, "a").join(b, "b")
+    return stored(rows.mapInArrow(check, "a long, b long"), "possible")
+
+
 class Trie:
     """Ordered sets as a trie of runs: sets that begin alike share the nodes of their beginning."""
 
@@ -180,8 +228,10 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         if held:
             yield flush()
 
-    left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("a_set"))
-    right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("b_set"))
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    left_over = sets.join(small_side(nodes), "node", "left_semi")
+    left = left_over.select(F.col("node").alias("a"), F.col("tokens").alias("a_set"))
+    right = left_over.select(F.col("node").alias("b"), F.col("tokens").alias("b_set"))
     rows = pairs.select("a", "b").join(right, "b").join(left, "a")
     # A partner-rich ``a`` is split over tasks by adaptive execution; the sets aren't shuffled again for it.
     return stored(rows.sortWithinPartitions("a").mapInArrow(check, "a long, b long"), "links")
@@ -200,19 +250,20 @@ def jaccard_links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     order = token_order(docs, lambda part: shingles(part["text"], k)[0])
-    all_sets = stored(document_sets(docs, order, k), "document-sets")
-    classes = (
-        all_sets.where("n > 0 AND doc_id IS NOT NULL")
-        .groupBy("set_key", "n")
-        .agg(F.min(F.struct("doc_id", "prefix")).alias("_first"))
-        .select(F.col("_first.doc_id").alias("node"), "n", F.col("_first.prefix").alias("prefix"))
-    )
-    placed = F.transform(
-        "prefix", lambda t, i: F.struct(i.alias("i"), t.alias("token"), F.get("prefix", i - 1).alias("before"))
-    )
-    tokens = classes.select("node", "n", F.inline_outer(placed)).repartition("token")
-    groups = tokens.groupBy("token").agg(F.count("*").alias("_df"), F.min(F.struct("node", "n")).alias("_first")).where("_df > 1")
-    kept = ["token", "node", "n", "i", "before", F.col("_first.node").alias("pivot"), F.col("_first.n").alias("pivot_n")]
+    all_sets = stored(document_sets(docs, order, k).withColumn("row", F.monotonically_increasing_id()), "document-sets")
+    named_sets = all_sets.where("n > 0 AND doc_id IS NOT NULL")
+    # Only names of sets move to find equal ones; their prefixes stay where they are.
+    named_rows = named_sets.groupBy(F.col("set_key").alias("_key"), F.col("n").alias("_n"))
+    copies = named_rows.agg(F.count("*").alias("_times"), F.min(F.struct("doc_id", "row")).alias("_first"))
+    copies = small_side(copies.where("_times > 1").select("_key", "_n", F.col("_first.row").alias("_row")))
+    tagged = named_sets.join(copies, (F.col("set_key") == F.col("_key")) & (F.col("n") == F.col("_n")), "left")
+    classes = tagged.where("coalesce(_row = row, true)").select(F.col("doc_id").alias("node"), "n", "prefix", "sign")
+    at = F.shiftleft("n", 32).bitwiseOR(F.col("i").cast("long")).alias("at")
+    tokens = classes.select("node", "n", F.posexplode("prefix").alias("i", "token")).select("token", "node", at).repartition("token")
+    # The same columns on both sides, so that both read one exchange.
+    groups = tokens.groupBy("token").agg(F.count("*").alias("_df"), F.min(F.struct("node", "at")).alias("_first")).where("_df > 1")
+    n, i = F.shiftright("at", 32).alias("n"), F.col("at").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("i")
+    kept = ["token", "node", n, i, F.col("_first.node").alias("pivot"), F.shiftright("_first.at", 32).alias("pivot_n")]
     shared = stored(tokens.join(groups, "token").select(*kept), "shared")
     stars = (
         shared.where("node <> pivot")
@@ -225,14 +276,19 @@ def jaccard_links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame
     first = links_of(docs, stored(stars, "stars"), order, k)
     groups_ = components(first)
     label = small_side(groups_)
-    named = shared.join(label, "node", "left").select("token", "node", "n", "i", "before", F.coalesce("root", "node").alias("root"))
+    named = shared.join(label, "node", "left").select("token", "node", "n", "i", F.coalesce("root", "node").alias("root"))
     # Tokens that stand in one component alone have nothing left to compare.
     mixed = named.groupBy("token").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi")
     rest = stored(named.join(mixed.select("token"), "token", "left_semi"), "rest")
     # Only a token that can be the first common one of a pair makes it. Signatures of fixed size, however long
     # a document is, bound its overlap before it is shuffled.
-    signs = all_sets.where("n > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("node"), "n", "sign").distinct()
-    marked = rest.join(signs, ["node", "n"]).repartition("token")
+    left = small_side(rest.select("node").distinct())
+    signs = classes.join(left, "node", "left_semi")
+    marked = (
+        rest.join(signs, ["node", "n"])
+        .select("token", "node", "n", "i", F.get("prefix", F.col("i") - 1).alias("before"), "root", "sign")
+        .repartition("token")
+    )
 
     def side(k: str) -> DataFrame:
         return marked.select(*[F.col(c).alias(f"{c}_{k}") for c in ("token", "node", "n", "i", "before", "root", "sign")])
@@ -263,7 +319,8 @@ def length_ok(a: str, b: str):
 
 def links_of(docs: DataFrame, pairs: DataFrame, order: TokenOrder, k: int) -> DataFrame:
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    return verified(pairs, chosen_sets(docs, nodes, order, k))
+    sets = chosen_sets(docs, nodes, order, k)
+    return verified(possible(pairs, sets), sets)
 
 
 def join(docs: DataFrame, k: int = WORDS) -> DataFrame:
@@ -283,10 +340,31 @@ def join(docs: DataFrame, k: int = WORDS) -> DataFrame:
     return out.select("doc_id", "n_shingles", "class_id", F.coalesce("root", "class_id").alias("component_id"))
 
 
+def own_ids(docs: DataFrame) -> DataFrame:
+    """``_row, doc_id, text``: rows whose id stands for different texts get ids of their own, after all others.
+
+    Repeated rows with one text keep one id, so that they stay or go together.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), "text")
+    keys = rows.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64("text").alias("_hash"))
+    mixed = keys.groupBy("doc_id").agg(F.min("_hash").alias("_lo"), F.max("_hash").alias("_hi")).where("_lo <> _hi")
+    many = keys.join(small_side(mixed.select("doc_id")), "doc_id", "left_semi").distinct()
+    named = stored(global_row_number(many, [F.col("doc_id"), F.col("_hash")], "_number"), "own-ids")
+    if named.isEmpty():
+        return rows
+    last = keys.agg(F.max("doc_id")).first()[0]
+    fresh = small_side(named.select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_h"), "_number"))
+    found = rows.join(fresh, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_h")), "left")
+    return found.select("_row", F.coalesce(F.col("_number") + last, F.col("doc_id")).alias("doc_id"), "text")
+
+
 def one_of_each(docs: DataFrame, k: int = WORDS) -> DataFrame:
     """The rows of ``docs`` that are first of their component, with their own columns.
 
-    Rows without words are in no component and stay; so do rows without an id.
+    Rows without words are in no component and stay; so do rows without an id. Rows that repeat an id and a text stay or go
+    together; of different texts with one id each is judged alone, and comes after all other rows.
     """
-    found = join(docs, k).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(small_side(found), F.col("doc_id") == F.col("_gone"), "left_anti")
+    rows = own_ids(docs)
+    found = join(rows, k).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    return rows.join(small_side(found), F.col("doc_id") == F.col("_gone"), "left_anti").select("_row.*")
