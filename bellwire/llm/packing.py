@@ -17,8 +17,10 @@ SEQUENCE = 4096
 END_ID = 2
 # Text that goes into one packing group, in bytes. Groups are packed independently.
 GROUP_BYTES = 4 << 20
-# Words whose ids a task remembers at most.
-MEMORY = 1 << 20
+# Groups that one task packs.
+TASK_GROUPS = 8
+# Words whose ids a worker remembers at most.
+MEMORY = 1 << 18
 
 # Relative costs of one token and of one attended pair of tokens.
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
@@ -35,13 +37,23 @@ _PLAIN = r"[!-~À-ÖØ-öø-ÿ]+\Z"
 
 
 class WordIds:
-    """Token ids of words between white space, remembered per task.
+    """Token ids of words between white space, remembered by the worker from task to task.
 
     The vocabulary drops white space and never joins over it, so a text's ids are those of
     its words. Words of ASCII and Latin letters go straight to the merge table; all other
     words, and those that hold an added token's text, go through the whole tokenizer.
     """
 
+    @staticmethod
+    def of(path: str) -> WordIds:
+        """The worker's own memory for a vocabulary."""
+        import tokenizers
+
+        held = vars(tokenizers).setdefault("_bellwire_word_ids", {})
+        if path not in held:
+            held[path] = WordIds(path)
+        return held[path]
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -54,7 +66,7 @@ class WordIds:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known: dict[bytes, int] = {}
         self.parts: dict[str, list[int]] = {}
         self.ids = np.zeros(1 << 16, np.uint16)
         self.starts, self.used = [0], 0
@@ -76,31 +88,36 @@ class WordIds:
         """Ids of all texts, end id included, and where each text starts among them."""
         data, at = spans.text_bytes(texts)
         starts, ends, rows = spans.runs(data, at, spans.SPACED)
-        distinct, first, inverse = np.unique(
+        raw = data.tobytes()
+        _, first, inverse = np.unique(
             spans.span_hashes(data, starts, ends), return_index=True, return_inverse=True
         )
-        if len(self.known) + len(distinct) > MEMORY:
+        if not spans.same_spans(data, starts, ends, first[inverse]):
+            # Unequal words of one hash: the words themselves are told apart.
+            every = np.array([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())], object)
+            _, first, inverse = np.unique(every, return_index=True, return_inverse=True)
+        if len(self.known) + len(first) > MEMORY:
             self.forget()
-        slots = np.array([self.known.get(h, -1) for h in distinct.tolist()], np.int64)
-        raw = data.tobytes()
+        words = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        slots = np.array([self.known.get(w, -1) for w in words], np.int64)
         for i in np.flatnonzero(slots < 0).tolist():
-            ids = self.word(raw[starts[first[i]] : ends[first[i]]].decode())
-            slots[i] = self.known[int(distinct[i])] = len(self.starts) - 1
+            ids = self.word(words[i].decode())
+            slots[i] = self.known[words[i]] = len(self.starts) - 1
             while self.used + len(ids) > len(self.ids):
                 self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
             self.ids[self.used : self.used + len(ids)] = ids
             self.used += len(ids)
             self.starts.append(self.used)
         bounds = np.array(self.starts, np.int64)
-        words = slots[inverse] if len(slots) else np.zeros(0, np.int64)
-        lengths = bounds[words + 1] - bounds[words]
+        places = slots[inverse] if len(slots) else np.zeros(0, np.int64)
+        lengths = bounds[places + 1] - bounds[places]
         n = len(at) - 1
         sizes = spans.row_sums(lengths, rows, n) + 1
         ends_at = np.cumsum(sizes)
         out = np.full(int(ends_at[-1]) if n else 0, END_ID, np.uint16)
-        if len(words):
+        if len(places):
             before = np.cumsum(lengths) - lengths
-            source = np.repeat(bounds[words] - before, lengths) + np.arange(int(lengths.sum()))
+            source = np.repeat(bounds[places] - before, lengths) + np.arange(int(lengths.sum()))
             # Every earlier text put one end id before these.
             target = np.arange(len(source)) + np.repeat(rows, lengths)
             out[target] = self.ids[source]
@@ -153,7 +170,7 @@ def token_rows(docs: DataFrame, path: str, groups: int) -> DataFrame:
     """``doc_id, group, ids``: ids as unsigned 16-bit numbers; one row per document."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path)
+        words = WordIds.of(path)
         for part in spans.chunks(batches, "text"):
             ids, at = words.encode(part["text"])
             raw = ids.tobytes()
@@ -207,4 +224,7 @@ def pack(docs: DataFrame, tokenizer: str) -> DataFrame:
     """
     bytes_ = docs.agg(F.sum(F.octet_length("text") + 1).alias("b")).first()["b"] or 0
     groups = max(1, -(-bytes_ // GROUP_BYTES))
-    return token_rows(docs, tokenizer, groups).groupBy("group").applyInArrow(pack_group, PIECES)
+    rows = token_rows(docs, tokenizer, groups)
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(max(least, -(-groups // TASK_GROUPS)), "group")
+    return dealt.groupBy("group").applyInArrow(pack_group, PIECES)
