@@ -21,6 +21,8 @@ from bellwire.session import scratch_path, small_side, stored
 LEAST_REVISIT = 1000
 # Payload bytes after which a task begins a new archive.
 ARCHIVE_BYTES = 128 << 20
+# Bytes of records that one task reads, and neighbouring bytes that stay together.
+READ_BYTES, PART_BYTES = 64 << 20, 1 << 20
 DATE = "1970-01-01T00:00:00Z"
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
@@ -120,8 +122,8 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
 
 
 def _fields(head: bytes) -> dict[str, str]:
-    pairs = (line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
-    return {p[0]: p[1] for p in pairs if len(p) == 2}
+    pairs = (line.split(":", 1) for line in head.decode().split("\r\n")[1:])
+    return {p[0]: p[1].strip(" \t") for p in pairs if len(p) == 2}
 
 
 def index_lines(file, start: int, size: int, step: int = 1 << 20) -> Iterator[dict]:
@@ -172,8 +174,11 @@ def read_archives(spark: SparkSession, archives: DataFrame) -> DataFrame:
                     rows.append(_row(*parse_record(file.read(x["length"]))))
                 yield pa.RecordBatch.from_pylist(rows, RECORD)
 
-    ranges = archives.select("archive").mapInArrow(entries, "archive string, at long, length long")
-    spread = ranges.repartition("archive", F.floor(F.col("at") / (8 << 20))).sortWithinPartitions("archive", "at")
+    ranges = stored(archives.select("archive").mapInArrow(entries, "archive string, at long, length long"), "warc-ranges")
+    # The rows are short and the bytes they stand for are not, so tasks are counted by bytes.
+    size = ranges.agg(F.sum("length")).first()[0] or 0
+    tasks = int(max(spark.sparkContext.defaultParallelism, -(-size // READ_BYTES)))
+    spread = ranges.repartition(tasks, "archive", F.floor(F.col("at") / PART_BYTES)).sortWithinPartitions("archive", "at")
     return spread.mapInArrow(
         records,
         "page_id long, url string, payload binary, payload_bytes long, payload_digest string, "
