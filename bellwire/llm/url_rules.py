@@ -123,11 +123,13 @@ def judge(
         .groupBy("_url")
         .agg(F.max(F.struct("base", "length", "rule", "rule_verdict")).alias("_best"))
     )
-    judged = pages.join(fitting, F.col("url") == F.col("_url"), "left")
+    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("_row"), F.col("url").alias("_page"))
+    judged = rows.join(fitting, F.col("_page") == F.col("_url"), "left")
+    url = F.col("_page")
     return judged.select(
-        *[F.col(f"`{c}`") for c in pages.columns if c not in ("host", "path", "rule", "verdict")],
-        url_host(F.col("url")).alias("host"),
-        url_path(F.col("url")).alias("path"),
+        *[F.col(f"_row.`{c}`") for c in pages.columns if c not in ("host", "path", "rule", "verdict")],
+        url_host(url).alias("host"),
+        url_path(url).alias("path"),
         F.when(F.col("_best.base"), F.col("_best.rule")).alias("rule"),
         F.coalesce("_best.rule_verdict", F.lit(default)).alias("verdict"),
     )
