@@ -81,6 +81,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+class Rounds:
+    """Storage for the results of a loop: each replaces the one before the last, so two are kept.
+
+    Columnar files cut the lineage, and unlike a checkpoint also the planner's estimates, which are multiplied with
+    every join of a loop.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.paths = [scratch_path(spark, name) for _ in range(2)]
+
+    def kept(self, df: DataFrame) -> DataFrame:
+        """``df`` stored; it may read what was kept last, but nothing older."""
+        self.paths.reverse()
+        df.write.mode("overwrite").parquet(self.paths[0])
+        return self.spark.read.schema(df.schema).parquet(self.paths[0])
+
+
 def small_side(
     df: DataFrame,
     max_rows: int | None = None,
