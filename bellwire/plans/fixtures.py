@@ -207,3 +207,23 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("bar.close").alias("trade"),
         "bar.volume",
     )
+
+
+def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as news in the time of the events, by the minute; every third one is on one symbol."""
+    orders = table(spark, sf_dir, "orders")
+    day = F.date_diff("o_orderdate", F.lit("1995-01-01").cast("date")) % 32
+    minutes = F.make_dt_interval(day, F.lit(0), (F.col("o_orderkey") * 7 % 1440).cast("int"))
+    user = F.when(F.col("o_orderkey") % 3 == 0, 7).otherwise(F.floor(F.col("o_custkey") / 10))
+    return orders.select(
+        F.col("o_orderkey").alias("news_id"),
+        code(user).alias("symbol"),
+        (F.lit("2023-12-31 00:00:00").cast("timestamp_ntz") + minutes).alias("news_time"),
+    )
+
+
+def minute_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks by the minute, so that some fall on the minute of a trade and some on one another's."""
+    return ticks(spark, sf_dir).select(
+        "symbol", F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("tick_time"), F.col("value").alias("tick_value")
+    )

@@ -93,6 +93,15 @@ snapshot AS (
   SELECT symbol, 'N' || symbol AS name, open, high, low, close AS trade, volume
   FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS back FROM bars_ev)
   WHERE back = 1)""",
+    "trades": """
+trades AS (
+  SELECT o_orderkey AS news_id, 'sh' || lpad(CAST(CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey // 10 END AS VARCHAR), 6, '0') AS symbol,
+         TIMESTAMP '2023-12-31 00:00:00' + to_days(CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) % 32 AS INTEGER))
+           + to_minutes(CAST(o_orderkey * 7 % 1440 AS INTEGER)) AS news_time
+  FROM orders)""",
+    "minute_ticks": """
+minute_ticks AS (
+  SELECT symbol, date_trunc('minute', ts) AS tick_time, value AS tick_value FROM ticks)""",
     "ticks": """
 ticks AS (
   SELECT 'sh' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS symbol, ts, value, event_type FROM events)""",
@@ -283,6 +292,21 @@ FROM seen""",
        last_close FROM within""",
         "bars_li", "news", LI_STATS, SEEN, WITHIN,
     ),
+    "asof_ticks": sql(
+        """SELECT news_id, trades.symbol, news_time, tick_time, tick_value
+FROM trades ASOF LEFT JOIN (
+  SELECT symbol, tick_time, max(tick_value) AS tick_value FROM minute_ticks GROUP BY 1, 2) AS t
+ON trades.symbol = t.symbol AND trades.news_time > t.tick_time""",
+        "ticks", "trades", "minute_ticks",
+    ),
+    "interval_ticks": sql(
+        """SELECT news_id, any_value(trades.symbol) AS symbol, count(tick_time) AS n_ticks,
+  min({'t': tick_time, 'v': tick_value})['v'] AS first_value, max({'t': tick_time, 'v': tick_value})['v'] AS last_value
+FROM trades LEFT JOIN minute_ticks ON trades.symbol = minute_ticks.symbol
+  AND tick_time >= news_time AND tick_time < news_time + to_minutes(CAST(news_id % 600 + 1 AS INTEGER))
+GROUP BY news_id""",
+        "ticks", "trades", "minute_ticks",
+    ),
     "distinct_values": """
 SELECT DISTINCT 'o_orderstatus' AS tag, o_orderstatus AS value FROM orders WHERE o_orderstatus IS NOT NULL
 UNION ALL SELECT DISTINCT 'o_orderpriority', o_orderpriority FROM orders WHERE o_orderpriority IS NOT NULL

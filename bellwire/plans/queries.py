@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -283,6 +284,28 @@ def range_window_bars(spark, d):
     )
 
 
+@query
+def asof_ticks(spark, d):
+    """The last tick before each trade, at any time of day; a tick of the same minute is not before it."""
+    joined = A.asof_rows(
+        X.trades(spark, d), X.minute_ticks(spark, d), "symbol", "news_time", "tick_time", ["tick_time", "tick_value"]
+    )
+    return joined.select("news_id", "symbol", "news_time", "tick_time", "tick_value")
+
+
+@query
+def interval_ticks(spark, d):
+    """Ticks within 1 to 600 minutes from each trade on."""
+    minutes = F.make_dt_interval(F.lit(0), F.lit(0), (F.col("news_id") % 600 + 1).cast("int"))
+    asked = X.trades(spark, d).withColumn("until", F.col("news_time") + minutes)
+    found = A.interval_stats(
+        asked, X.minute_ticks(spark, d), "symbol", "news_time", "until", "tick_time", "tick_value", ["news_id"]
+    )
+    return found.select(
+        "news_id", "symbol", F.col("n").alias("n_ticks"), F.col("first").alias("first_value"), F.col("last").alias("last_value")
+    )
+
+
 # --- aggregates ------------------------------------------------------------
 
 
@@ -590,25 +613,51 @@ def bar_feature_vectors(spark, d):
     )
 
 
-@query
-def lda_topics(spark, d):
-    docs = settled(Z.with_words(X.documents(spark, d)))
-    model = Z.lda_pipeline(docs, files.bounded_words(X.stop_words(spark, d)))
-    weighted = Z.topic_array(model.transform(docs), minimum=Z.MIN_PROBABILITY)
+def word_counts(spark, d, docs: DataFrame) -> DataFrame:
+    """Counts of all words but stop words, stored: the models read them in every round."""
+    return stored(V.bag_of_words(docs, X.stop_words(spark, d)), "bow")
+
+
+def as_weights(bow: DataFrame) -> DataFrame:
+    return bow.select("doc_id", "token", F.col("tf").cast("double").alias("weight"))
+
+
+def topic_columns(weighted: DataFrame, topics: int = Z.TOPICS, *plain: str) -> DataFrame:
     return weighted.select(
-        "doc_id", *[r6(F.get("topic_weights", i)).alias(f"topic_{i}") for i in range(Z.TOPICS)]
+        "doc_id", *plain, *[r6(F.get("topic_weights", i)).alias(f"topic_{i}") for i in range(topics)]
     )
 
 
+@query
+def lda_topics(spark, d):
+    docs = X.documents(spark, d)
+    entries = as_weights(word_counts(spark, d, docs))
+    return topic_columns(Z.fit_lda(entries).transform(entries, docs, minimum=Z.MIN_PROBABILITY))
+
+
 @query
 def lsi_topics(spark, d):
-    stop = files.bounded_words(X.stop_words(spark, d))
-    docs = settled(Z.with_words(X.documents(spark, d)))
-    model = Z.fit_lsi(docs, stop)
-    coordinates = model.transform(V.bag_of_words(docs, X.stop_words(spark, d)))
-    return coordinates.select(
+    docs = X.documents(spark, d)
+    counts = word_counts(spark, d, docs)
+    model = Z.fit_lsi(counts, docs)
+    return topic_columns(model.transform(counts, docs), model.topics)
+
+
+@query
+def topics_reloaded(spark, d):
+    """Models of the training documents, stored and loaded again, on the other documents."""
+    docs = X.documents(spark, d).withColumn("part", P.split_part(F.col("doc_id"), P.TRAIN_TEST))
+    train, test = docs.where("part = 'train'"), docs.where("part = 'test'")
+    seen, new = word_counts(spark, d, train), word_counts(spark, d, test)
+    paths = [scratch_path(spark, n) for n in ("lsi-model", "lda-model")]
+    Z.fit_lsi(seen, train).save(paths[0])
+    Z.fit_lda(as_weights(seen)).save(paths[1])
+    lsi, lda = Z.LsiModel.load(spark, paths[0]), Z.LdaModel.load(spark, paths[1])
+    places = topic_columns(lsi.transform(new, test), lsi.topics)
+    shares = lda.transform(as_weights(new), test)
+    return places.join(
+        shares.select("doc_id", *[r6(F.get("topic_weights", i)).alias(f"share_{i}") for i in range(lda.topics)]),
         "doc_id",
-        *[r6(F.get("topic_weights", i)).alias(f"topic_{i}") for i in range(model.topics)],
     )
 
 
@@ -616,16 +665,16 @@ def lsi_topics(spark, d):
 def svm_predictions(spark, d):
     """Topics of rated documents, then a linear SVM on them; predictions of the test part."""
     rated = X.table(spark, d, "documents").join(X.table(spark, d, "labels"), "doc_id")
-    rows = rated.select(
+    docs = X.spread(rated, "doc_id").select(
         "doc_id", "text", F.col("quality").cast("double").alias("label"),
         P.split_part(F.col("doc_id"), P.TRAIN_TEST).alias("part"),
     )
-    docs = settled(Z.with_words(X.spread(rows, "doc_id")))
-    topics = Z.lda_pipeline(
-        docs.where("part = 'train'"), files.bounded_words(X.stop_words(spark, d))
-    )
+    entries = as_weights(word_counts(spark, d, docs))
+    train = docs.where("part = 'train'").select("doc_id")
+    model = Z.fit_lda(stored(entries.join(train, "doc_id", "left_semi"), "train-entries"))
+    topics = model.transform(entries, docs).withColumn("topics", array_to_vector("topic_weights"))
     # Topics are inferred once; training and testing read the stored rows.
-    rows = settled(topics.transform(docs).select("doc_id", "label", "part", "topics"))
+    rows = settled(topics.join(docs.drop("text"), "doc_id").select("doc_id", "label", "part", "topics"))
     model = P.train_svm(rows.where("part = 'train'"), features="topics")
     tested = model.transform(rows.where("part = 'test'"))
     return tested.select("doc_id", "label", "prediction")

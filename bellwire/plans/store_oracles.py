@@ -48,4 +48,10 @@ FROM (SELECT doc_id, {stripped("' ' || chr(10) || news_title || chr(9) || ' '")}
         "news_docs",
     ),
     "model_reload": BASE["bar_feature_vectors"],
+    "stored_update": sql(
+        """SELECT doc_id, CASE WHEN toxic THEN 'toxic' ELSE feed END AS feed, CASE WHEN NOT toxic THEN news_time END AS news_time,
+  md5(news_article) AS article_md5, codes
+FROM (SELECT *, doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic FROM news_docs) LEFT JOIN linked USING (doc_id)""",
+        "bench_words", "names", "stop_words", "news_docs", "pairs",
+    ),
 }

@@ -12,10 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from bellwire.functions import scalars as S
 from bellwire.operators import bars as B
+from bellwire.operators import linking as K
 from bellwire.operators import models as P
 from bellwire.plans import fixtures as X
 from bellwire.session import scratch_path
-from bellwire.sources import files, messages, sinks
+from bellwire.sources import files, keyed_table, messages, sinks
 from bellwire.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,3 +171,17 @@ def model_reload(spark, d):
         "symbol", "date",
         *[(F.round(F.get("vector", i), 6) + F.lit(0.0)).alias(f"f{i}") for i in range(7)],
     )
+
+
+@query
+def stored_update(spark, d):
+    """A stored table of articles: codes written back by id, then the articles of toxic documents marked."""
+    docs = X.news_docs(spark, d).select("doc_id", "feed", "news_time", F.md5("news_article").alias("article_md5"))
+    table = keyed_table.KeyedTable(spark, scratch_path(spark, "articles"), "doc_id", buckets=16)
+    table.create(docs)
+    hits = K.mention_hits(X.news_docs(spark, d), X.names(spark, d), X.stop_words(spark, d), ["doc_id"])
+    codes = K.joined_codes(F.col("relevant_symbols"))
+    table.patch(K.relevant_symbols(hits).select("doc_id", codes.alias("codes")))
+    toxic = X.table(spark, d, "labels").where("toxic = 1")
+    table.patch(toxic.select("doc_id", F.lit("toxic").alias("feed"), F.lit(None).cast("timestamp_ntz").alias("news_time")))
+    return table.read()
