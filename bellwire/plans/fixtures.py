@@ -227,3 +227,21 @@ def minute_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks(spark, sf_dir).select(
         "symbol", F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("tick_time"), F.col("value").alias("tick_value")
     )
+
+
+# Letters and the Chinese characters that stand for them.
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+CHARACTERS = "的一是在不了有和人这中大为上个国我以要他时来用们生到"
+
+
+def han_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose letters a to z are Chinese characters; other letters, digits and blanks end a run."""
+    text = F.translate(F.lower("text"), LETTERS, CHARACTERS)
+    return documents(spark, sf_dir).select("doc_id", text.alias("text"))
+
+
+def han_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the benchmark of 2 to 6 letters, and the first three letters of longer ones, in Chinese characters."""
+    token = benchmark_words(spark, sf_dir).where(F.col("token").rlike("^[a-z]{2,}$")).select("token").distinct()
+    short = F.when(F.char_length("token") <= 6, F.col("token")).otherwise(F.substring("token", 1, 3))
+    return token.select(F.translate(short, LETTERS, CHARACTERS).alias("word")).distinct()

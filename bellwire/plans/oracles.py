@@ -176,6 +176,37 @@ LI_STATS = STATS.format(bars="bars_li")
 EV_STATS = STATS.format(bars="bars_ev")
 BAR = ["open", "high", "low", "close", "volume"]
 
+HAN_WORDS = f"""
+WITH RECURSIVE bench AS (
+  SELECT DISTINCT token FROM (
+    SELECT unnest(string_split_regex(lower(text), '{SEP}')) AS token FROM benchmark)
+  WHERE regexp_full_match(token, '[a-z]{{2,}}')
+), dict AS (
+  SELECT DISTINCT translate(CASE WHEN length(token) <= 6 THEN token ELSE substr(token, 1, 3) END,
+    'abcdefghijklmnopqrstuvwxyz', '的一是在不了有和人这中大为上个国我以要他时来用们生到') AS word
+  FROM bench
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(lower(text), 'abcdefghijklmnopqrstuvwxyz', '的一是在不了有和人这中大为上个国我以要他时来用们生到'), '[一-龥]+')) AS run FROM documents
+), runs_ AS (SELECT DISTINCT run FROM runs
+), places AS (
+  SELECT run, unnest(range(1, length(run) + 1)) AS pos FROM runs_
+), tried AS (
+  SELECT run, pos, n FROM places, (SELECT DISTINCT length(word) AS n FROM dict) WHERE pos + n <= length(run) + 1
+), best AS (
+  SELECT places.run, places.pos, coalesce(max(n), 1) AS n
+  FROM places LEFT JOIN (SELECT run, pos, n FROM tried JOIN dict ON substr(run, pos, n) = word) AS f
+    ON places.run = f.run AND places.pos = f.pos
+  GROUP BY 1, 2
+), seg AS (
+  SELECT run, CAST(1 AS BIGINT) AS pos FROM runs_
+  UNION ALL
+  SELECT seg.run, seg.pos + n FROM seg JOIN best ON seg.run = best.run AND seg.pos = best.pos WHERE seg.pos + n <= length(seg.run)
+)
+SELECT doc_id, substr(seg.run, seg.pos, n) AS word, count(*) AS n
+FROM seg JOIN best ON seg.run = best.run AND seg.pos = best.pos JOIN runs ON runs.run = seg.run
+GROUP BY 1, 2
+"""
+
 ORACLES: dict[str, str] = {
     "scan_filter_project": """
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders
@@ -461,6 +492,8 @@ FROM (SELECT doc_id, words[i] AS token, i FROM (
         SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM (
           SELECT doc_id, string_split_regex(lower(text), '{SEP}') AS words FROM documents)))
 WHERE token <> ''""",
+    "han_words": HAN_WORDS,
+    "han_words_batches": HAN_WORDS,
     "hash_split": """
 SELECT doc_id, b AS bucket, CASE WHEN b < 80 THEN 'train' ELSE 'test' END AS part FROM (
   SELECT doc_id, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 AS b

@@ -8,12 +8,14 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bellwire.functions import han
 from bellwire.functions import html as H
 from bellwire.functions import messages as M
 from bellwire.functions import scalars as S
 from bellwire.functions import text as T
 from bellwire.operators import asof as A
 from bellwire.operators import bars as B
+from bellwire.operators import han_words as W
 from bellwire.operators import labels as L
 from bellwire.operators import linking as K
 from bellwire.operators import models as P
@@ -521,6 +523,26 @@ def tokenize(spark, d):
     return T.outer_rows(rows, "token")
 
 
+def word_totals(words: DataFrame) -> DataFrame:
+    return words.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
+
+
+@query
+def han_words(spark, d):
+    """Chinese words of each document, found by joins with the dictionary."""
+    return word_totals(W.han_words(X.han_docs(spark, d), X.han_dictionary(spark, d)))
+
+
+@query
+def han_words_batches(spark, d):
+    """The same words, found batch by batch with a dictionary that tasks hold; other words are left out."""
+    known = files.bounded_words(X.han_dictionary(spark, d))
+    words = X.han_docs(spark, d).select("doc_id", han.segment(spark, F.col("text"), known).alias("_words"))
+    return word_totals(
+        T.token_rows(words, "_words", "doc_id").withColumnRenamed("token", "word").where(S.contains_han(F.col("word")))
+    )
+
+
 @query
 def hash_split(spark, d):
     bucket = S.md5_number(F.col("doc_id")) % 100
