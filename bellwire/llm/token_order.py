@@ -76,9 +76,14 @@ def ordered_sets(
     hashes: np.ndarray, owners: np.ndarray, order: TokenOrder | None
 ) -> tuple[np.ndarray, np.ndarray]:
     """Distinct tokens of each owner (ascending numbers), rare ones first, then by hash."""
-    owner_of, dense = np.unique(owners, return_inverse=True)
+    if (owners[1:] >= owners[:-1]).all():
+        dense = np.concatenate(([0], np.cumsum(owners[1:] != owners[:-1]))) if len(owners) else owners
+        several = int(dense[-1]) + 1 if len(dense) else 0
+    else:
+        distinct, dense = np.unique(owners, return_inverse=True)
+        several = len(distinct)
     classes = order.of(hashes).astype(np.uint64) if order is not None else np.zeros(len(hashes), np.uint64)
-    if len(owner_of) < 1 << 20:
+    if several < 1 << 20:
         # One sort of numbers that hold the owner, the frequency class and the hash's upper bits.
         key = dense.astype(np.uint64) << np.uint64(44) | classes << np.uint64(35) | hashes >> np.uint64(29)
         at = np.argsort(key)
