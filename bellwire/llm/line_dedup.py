@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -176,9 +176,11 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     lines = stored(prefix_rows(docs, order).withColumn("row", F.monotonically_increasing_id()), "lines")
     # Only the places of lines move to find equal sets; their prefixes stay where they are.
     equal = lines.groupBy(F.col("set_key").alias("_key"), F.col("n").alias("_n"))
-    copies = equal.agg(F.count("*").alias("_times"), F.min(F.struct("doc_id", "line", "row")).alias("_first"))
-    copies = small_side(copies.where("_times > 1").drop("_times"))
-    tagged = lines.join(copies, (F.col("set_key") == F.col("_key")) & (F.col("n") == F.col("_n")), "left")
+    copied = equal.agg(F.count("*").alias("_times"), F.min("doc_id").alias("_doc")).where("_times > 1").drop("_times")
+    same = (F.col("set_key") == F.col("_key")) & (F.col("n") == F.col("_n"))
+    firsts = lines.join(small_side(copied), same & (F.col("doc_id") == F.col("_doc"))).groupBy("_key", "_n")
+    copies = small_side(firsts.agg(F.min(F.struct("doc_id", "line", "row")).alias("_first")))
+    tagged = lines.join(copies, same, "left")
     # Rows that repeat an id and a text have lines of one place.
     other = (F.col("doc_id") != F.col("_first.doc_id")) | (F.col("line") != F.col("_first.line"))
     copy = F.col("_first").isNotNull() & other
@@ -190,10 +192,11 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
         .select("doc_id", "line", "n", *SIGN, F.posexplode("prefix").alias("i", "token"))
         .select("token", "doc_id", "line", at, *SIGN)
     )
-    dealt = tokens.repartition("token")
-    groups = dealt.groupBy("token").agg(F.count("*").alias("_df"), F.min(F.struct(*held)).alias("pivot"))
-    both = dealt.join(groups.where("_df > 1").drop("_df"), "token").select(
-        *[F.col(f"pivot.{c}").alias(f"{c}_x") for c in held], *[F.col(c).alias(f"{c}_y") for c in held]
+    # A token's lines pass by in order behind its first one: one sort, nothing held but that line.
+    ordered = Window.partitionBy("token").orderBy("doc_id", "line")
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = tokens.select(
+        *[F.first(c).over(so_far).alias(f"{c}_x") for c in held], *[F.col(c).alias(f"{c}_y") for c in held]
     )
     first = (
         placed(placed(both, "at_x"), "at_y")
