@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bellwire.llm import spans
@@ -259,12 +259,17 @@ def jaccard_links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame
     tagged = named_sets.join(copies, (F.col("set_key") == F.col("_key")) & (F.col("n") == F.col("_n")), "left")
     classes = tagged.where("coalesce(_row = row, true)").select(F.col("doc_id").alias("node"), "n", "prefix", "sign")
     at = F.shiftleft("n", 32).bitwiseOR(F.col("i").cast("long")).alias("at")
-    tokens = classes.select("node", "n", F.posexplode("prefix").alias("i", "token")).select("token", "node", at).repartition("token")
-    # The same columns on both sides, so that both read one exchange.
-    groups = tokens.groupBy("token").agg(F.count("*").alias("_df"), F.min(F.struct("node", "at")).alias("_first")).where("_df > 1")
+    tokens = classes.select("node", "n", F.posexplode("prefix").alias("i", "token")).select("token", "node", at)
     n, i = F.shiftright("at", 32).alias("n"), F.col("at").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("i")
-    kept = ["token", "node", n, i, F.col("_first.node").alias("pivot"), F.shiftright("_first.at", 32).alias("pivot_n")]
-    shared = stored(tokens.join(groups, "token").select(*kept), "shared")
+    # A token's classes pass by in order behind its smallest one; one that stands alone has no neighbour.
+    ordered = Window.partitionBy("token").orderBy("node", "at")
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    beside = F.coalesce(F.lag("node").over(ordered), F.lead("node").over(ordered))
+    passed = tokens.withColumns(
+        {"_beside": beside, "pivot": F.first("node").over(so_far), "_pivot_at": F.first("at").over(so_far)}
+    )
+    kept = ["token", "node", n, i, "pivot", F.shiftright("_pivot_at", 32).alias("pivot_n")]
+    shared = stored(passed.where("_beside IS NOT NULL").select(*kept), "shared")
     stars = (
         shared.where("node <> pivot")
         .groupBy("pivot", "pivot_n", "node", "n")
