@@ -18,6 +18,8 @@ WIDTH = 16
 # Keys that one tree holds, in bytes, and bytes of keys that one task reads.
 BLOCK_BYTES = 4 << 20
 TASK_BYTES = 32 << 20
+# Ids of one piece of a key's list of conversations.
+PIECE_IDS = 4096
 # Conversations that share a first part, and the turns it may have, are fixed by the rebuilding rule.
 FAMILY, TURNS = 5, 9
 NO_ENDS = hashlib.sha256(b"").hexdigest()
@@ -76,34 +78,46 @@ def rebuilt(turns: DataFrame) -> DataFrame:
 def end_digests(convs: DataFrame, repeated: DataFrame) -> DataFrame:
     """``digest, ends``: SHA-256 of the sorted ids of the conversations of each repeated key.
 
-    A hash of one sequence has one reader: the ids of a key come sorted to one task and run through it, however many they are.
+    The ids are sorted over all tasks, whichever key they have, and written out as pieces of text. A hash of one
+    sequence has one reader, so a key's pieces come in order to one task and run through it.
     """
     ids = convs.select(F.md5("key").alias("digest"), "conv_id").join(repeated, "digest", "left_semi")
-    ordered = ids.repartition("digest").sortWithinPartitions("digest", "conv_id")
+    ordered = ids.repartitionByRange("digest", "conv_id").sortWithinPartitions("digest", "conv_id")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, state = None, None
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests, convs_ = batch["digest"].to_pylist(), batch["conv_id"].to_pylist()
+            rows: list[tuple] = []
+            start = 0
+            for at in range(1, len(digests) + 1):
+                if at == len(digests) or digests[at] != digests[start] or at - start == PIECE_IDS:
+                    rows.append((digests[start], convs_[start], ",".join(map(str, convs_[start:at]))))
+                    start = at
+            yield table(rows, [("digest", pa.string()), ("first", pa.int64()), ("piece", pa.string())])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [("digest", pa.string()), ("ends", pa.string())]
+        current, state = None, None
+        for batch in batches:
             done = []
-            for digest, conv in zip(digests, convs_):
+            for digest, piece in zip(batch["digest"].to_pylist(), batch["piece"].to_pylist()):
                 if digest != current:
                     if state is not None:
                         done.append((current, state.hexdigest()))
-                    current, state = digest, hashlib.sha256(str(conv).encode())
+                    current, state = digest, hashlib.sha256(piece.encode())
                 else:
-                    state.update(b",%d" % conv)
-            yield out(done)
+                    state.update(b"," + piece.encode())
+            yield table(done, kinds)
         if state is not None:
-            yield out([(current, state.hexdigest())])
+            yield table([(current, state.hexdigest())], kinds)
 
-    def out(done):
-        return pa.record_batch(
-            [pa.array([d for d, _ in done], pa.string()), pa.array([e for _, e in done], pa.string())],
-            names=["digest", "ends"],
-        )
+    def table(rows: list[tuple], kinds: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows)) if rows else [()] * len(kinds)
+        return pa.record_batch([pa.array(c, k) for c, (_, k) in zip(columns, kinds)], names=[n for n, _ in kinds])
 
-    return ordered.mapInArrow(run, "digest string, ends string")
+    pieces = ordered.mapInArrow(write, "digest string, first long, piece string")
+    whole = pieces.repartition("digest").sortWithinPartitions("digest", "first")
+    return whole.mapInArrow(read, "digest string, ends string")
 
 
 def distinct_keys(convs: DataFrame) -> DataFrame:

@@ -31,6 +31,7 @@ def test_whole_table(spark):
 def test_shared_prefixes_over_blocks(spark, monkeypatch, block):
     """Few different turns, so that prefixes, copies and long conversations go over block and task borders."""
     monkeypatch.setattr(P, "BLOCK_BYTES", block)
+    monkeypatch.setattr(P, "PIECE_IDS", 3)
     random = np.random.default_rng(block)
     rows = []
     for c in range(400):
