@@ -16,6 +16,10 @@ KEYS = ("news_time", "news_title", "news_article")
 SCHEMA = "news_time STRING, news_title STRING, news_article STRING"
 
 
+# Why a message is refused.
+REASONS = ("bad_json", "not_object", "missing_key", "bad_type")
+
+
 def _part(key: str) -> Column:
     return F.try_variant_get("_json", f"$.{key}", "variant")
 

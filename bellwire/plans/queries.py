@@ -702,6 +702,23 @@ def svm_predictions(spark, d):
     return tested.select("doc_id", "label", "prediction")
 
 
+@query
+def grid_scores(spark, d):
+    """Weighted F1 of a linear classifier of ratings by fold and setting, every fit and score kept."""
+    docs = X.table(spark, d, "documents").join(X.table(spark, d, "labels"), "doc_id")
+    text = F.coalesce("text", F.lit(""))
+    counts = [F.char_length(text), F.size(F.split(text, " ")), F.size(F.split(text, "\n")), F.regexp_count(text, F.lit("[#*$%&|<>]"))]
+    rows = X.spread(docs, "doc_id").select(
+        "doc_id", F.col("quality").cast("double").alias("label"),
+        array_to_vector(F.array(*[F.log1p(c.cast("double")) for c in counts])).alias("features"),
+    )
+    machine = P.svm(features="features", iterations=10)
+    grid = P.ParamGridBuilder().addGrid(machine.regParam, [0.001, 0.1]).build()
+    folds = S.md5_number(F.col("doc_id")) % 3
+    scored = P.weighted_f1(P.grid_predictions(rows, machine, grid, folds, 3), "fold", "params")
+    return rounded(scored, ["fold", "params", "rows"], ["f1"])
+
+
 @query
 def price_forecast(spark, d):
     """Next close of the test bars, by both regressors."""

@@ -21,6 +21,13 @@ ORACLES = {
 SELECT CAST(doc_id % 4 AS INTEGER) AS topic_partition, min(doc_id) AS min_offset,
        max(doc_id) AS max_offset, count(*) AS n
 FROM documents GROUP BY 1""",
+    "stream_counters": f"""
+SELECT CAST(n AS BIGINT) AS messages, n - r AS accepted, r AS refused, bad_json, not_object, missing_key, bad_type
+FROM (SELECT count(*) AS r, count(*) FILTER (WHERE reason = 'bad_json') AS bad_json,
+        count(*) FILTER (WHERE reason = 'not_object') AS not_object,
+        count(*) FILTER (WHERE reason = 'missing_key') AS missing_key,
+        count(*) FILTER (WHERE reason = 'bad_type') AS bad_type
+      FROM ({BASE["stream_dead_letter"]})), (SELECT count(*) AS n FROM documents)""",
     "stream_high_water": sql(
         """SELECT doc_id, feed, news_time, CAST(doc_id % 2 AS INTEGER) AS batch_id
 FROM feed_items LEFT JOIN marks USING (feed)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from bellwire.functions import messages as M
 from bellwire.functions import scalars as S
 from bellwire.operators import bars as B
 from bellwire.operators import linking as K
@@ -68,6 +69,15 @@ def stream_dead_letter_table(spark, d):
     )
 
 
+@query
+def stream_counters(spark, d):
+    """Messages, accepted and refused ones, as the batches of the ingest job have counted them."""
+    counted = spark.read.parquet(f"{ingested(spark, d)}/counters")
+    by_reason = [F.sum(F.col("reasons")[r]).alias(r) for r in M.REASONS]
+    names = ("messages", "accepted", "refused")
+    return counted.agg(*[F.sum(c).alias(c) for c in names], *by_reason)
+
+
 @query
 def stream_offsets(spark, d):
     audit = spark.read.parquet(f"{ingested(spark, d)}/offsets")

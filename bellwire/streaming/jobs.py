@@ -42,6 +42,19 @@ def offset_audit(batch: DataFrame) -> DataFrame:
     )
 
 
+def batch_counters(checked: DataFrame) -> DataFrame:
+    """Progress of one batch: messages, those accepted and those refused, and the refusals by reason."""
+    reasons = F.map_from_entries(
+        F.array(*[F.struct(F.lit(r), F.count_if(F.col("reason") == r)) for r in M.REASONS])
+    )
+    return checked.agg(
+        F.count("*").alias("messages"),
+        F.count_if(F.col("reason").isNull()).alias("accepted"),
+        F.count_if(F.col("reason").isNotNull()).alias("refused"),
+        reasons.alias("reasons"),
+    )
+
+
 def ingest_batch(path: str) -> Callable[[DataFrame, int], None]:
     """Sink of one micro-batch: accepted news, dead letters and offsets.
 
@@ -54,6 +67,7 @@ def ingest_batch(path: str) -> Callable[[DataFrame, int], None]:
         try:
             write_batch(M.accepted(kept), f"{path}/news", batch_id)
             write_batch(M.refused(kept), f"{path}/dead_letters", batch_id)
+            write_batch(batch_counters(kept), f"{path}/counters", batch_id)
             if {"partition", "offset"} <= set(kept.columns):
                 write_batch(offset_audit(kept), f"{path}/offsets", batch_id)
         finally:
