@@ -3,7 +3,6 @@
 import random
 import re
 
-import pytest
 from pyspark.sql import functions as F
 
 from bellwire.functions import han
@@ -29,9 +28,8 @@ def made(seed):
     return sorted(known), texts + [None, "", "no Chinese _ at all", "股" * 5000, "票" * 2 + "股" * 4001]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_batches_and_joins(spark, seed):
-    known, texts = made(seed)
+def test_batches_and_joins(spark):
+    known, texts = made(1)
     df = spark.createDataFrame(list(enumerate(texts)) + [(None, "股票")], "doc_id BIGINT, text STRING").repartition(3)
     cut = df.select("doc_id", han.segment(spark, F.col("text"), known).alias("w"))
     got = {r["doc_id"]: r["w"] for r in cut.collect() if r["doc_id"] is not None}
