@@ -19,8 +19,8 @@ END_ID = 2
 GROUP_BYTES = 4 << 20
 # Groups that one task packs.
 TASK_GROUPS = 8
-# Words whose ids a worker remembers at most.
-MEMORY = 1 << 18
+# Words whose ids a task remembers at most.
+MEMORY = 1 << 17
 
 # Relative costs of one token and of one attended pair of tokens.
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
@@ -37,23 +37,13 @@ _PLAIN = r"[!-~À-ÖØ-öø-ÿ]+\Z"
 
 
 class WordIds:
-    """Token ids of words between white space, remembered by the worker from task to task.
+    """Token ids of words between white space, remembered per task.
 
     The vocabulary drops white space and never joins over it, so a text's ids are those of
     its words. Words of ASCII and Latin letters go straight to the merge table; all other
     words, and those that hold an added token's text, go through the whole tokenizer.
     """
 
-    @staticmethod
-    def of(path: str) -> WordIds:
-        """The worker's own memory for a vocabulary."""
-        import tokenizers
-
-        held = vars(tokenizers).setdefault("_bellwire_word_ids", {})
-        if path not in held:
-            held[path] = WordIds(path)
-        return held[path]
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -170,7 +160,7 @@ def token_rows(docs: DataFrame, path: str, groups: int) -> DataFrame:
     """``doc_id, group, ids``: ids as unsigned 16-bit numbers; one row per document."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds.of(path)
+        words = WordIds(path)
         for part in spans.chunks(batches, "text"):
             ids, at = words.encode(part["text"])
             raw = ids.tobytes()

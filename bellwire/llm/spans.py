@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 # A-Z become a-z, all other bytes stay.
 LOWER = np.arange(256, dtype=np.uint8)
