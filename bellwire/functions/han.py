@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+# Characters of text that are matched at once: their arrays take some hundred bytes a character.
+CHUNK_CHARS = 1 << 18
 # Fixed value: runs of Chinese characters; other text is split at its separators.
 PIECES = re.compile(r"([一-龥]+)|([^\W_一-龥]+)")
 
@@ -21,7 +23,7 @@ PIECES = re.compile(r"([一-龥]+)|([^\W_一-龥]+)")
 def segment(spark: SparkSession, text: Column, dictionary: list[str]) -> Column:
     """``array<string>`` of words; ``dictionary`` is a bounded list of known words.
 
-    All Chinese runs of a batch are one array of characters. For each length, the hashes of all places are looked up
+    All Chinese runs of about ``CHUNK_CHARS`` characters of texts are one array of characters. For each length, the hashes of all places are looked up
     among the words of that length and what is found is compared. Which places begin a word follows by jumping
     from word to word, twice as far each round. The work is a few array operations per length and round, not
     one step per character. The helpers are defined in here so that they travel with the function: workers
@@ -34,7 +36,7 @@ def segment(spark: SparkSession, text: Column, dictionary: list[str]) -> Column:
     # Per length: characters of its words, one row each.
     tables = {n: np.array([[ord(c) for c in w] for w in ws], np.uint32) for n, ws in words.items()}
     shared = spark.sparkContext.broadcast(tables)
-    pieces = PIECES
+    pieces, limit = PIECES, CHUNK_CHARS
 
     def hashes(chars: np.ndarray, n: int) -> np.ndarray:
         """A hash of the ``n`` characters from each place on; the last places have none."""
@@ -101,6 +103,12 @@ def segment(spark: SparkSession, text: Column, dictionary: list[str]) -> Column:
     @F.pandas_udf("array<string>")
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series(split(texts.tolist()))
+            # What is held at a time follows the characters of a chunk, not the rows of a batch.
+            ends, start = texts.str.len().fillna(0).astype(np.int64).cumsum().to_numpy(), 0
+            while start < len(texts):
+                done = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, done + limit, "right")))
+                yield pd.Series(split(texts.iloc[start:stop].tolist()), dtype=object)
+                start = stop
 
     return cut(text)

@@ -3,6 +3,7 @@
 import random
 import re
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from bellwire.functions import han
@@ -57,3 +58,15 @@ def test_larger_dictionaries_are_shuffled(spark, monkeypatch):
     want = {tuple(r) for r in W.han_words(df, dictionary).collect()}
     monkeypatch.setattr(session, "BROADCAST_MAX_ROWS", 0)
     assert {tuple(r) for r in W.han_words(df, dictionary).collect()} == want
+
+
+def test_batches_are_cut_by_characters(spark, monkeypatch):
+    """A batch of many characters is matched and given back in bounded parts."""
+    made_, texts = [], ["股票a" * 9, None, "", "市场" * 70, "上涨"] * 8
+    monkeypatch.setattr(han, "CHUNK_CHARS", 50, raising=False)
+    monkeypatch.setattr(han.F, "pandas_udf", lambda kind: lambda f: made_.append(f) or (lambda c: c))
+    han.segment(spark, None, ["股票", "市场"])
+    parts = [p.tolist() for p in made_[0](iter([pd.Series(texts)]))]
+    assert len(parts) > 8 and all(len("".join(w for row in p for w in row)) <= 50 or len(p) == 1 for p in parts)
+    words = {"股票a" * 9: ["股票", "a"] * 9, None: [], "": [], "市场" * 70: ["市场"] * 70, "上涨": ["上", "涨"]}
+    assert [row for p in parts for row in p] == [words[t] for t in texts]
