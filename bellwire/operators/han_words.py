@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bellwire.session import small_side
+from bellwire.session import is_small, settled
+
+# Functions that run inside tasks travel with the job: workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Fixed value: runs of Chinese characters.
 RUN = "([一-龥]+)"
@@ -20,16 +26,19 @@ def han_runs(docs: DataFrame, key: str, text: str) -> DataFrame:
     return runs.select(key, F.posexplode_outer("_runs").alias("run_no", "run")).where("run IS NOT NULL")
 
 
-def longest_matches(runs: DataFrame, dictionary: DataFrame, key: str) -> DataFrame:
+def word_tables(dictionary: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``word`` of two characters or more; ``head, sizes``: the lengths of the words that begin with two characters."""
+    words = settled(dictionary.select("word").where(F.char_length("word") > 1).distinct())
+    sized = words.select(F.substring("word", 1, 2).alias("head"), F.char_length("word").alias("n"))
+    return words, settled(sized.groupBy("head").agg(F.collect_set("n").alias("sizes")))
+
+
+def longest_matches(runs: DataFrame, words: DataFrame, heads: DataFrame, key: str) -> DataFrame:
     """``key, run_no, at, n``: the length of the longest word of two characters or more at each place that has one.
 
     The first two characters of a place say which lengths are worth a look; what they leave is joined with the words
-    themselves. Both word tables are broadcast only if measured small; otherwise places move, with
-    no more of their run than the longest word.
+    themselves. For dictionaries too large to be broadcast: places move, with no more of their run than the longest word.
     """
-    words = dictionary.select(F.col("word")).where(F.char_length("word") > 1).distinct()
-    sized = words.select(F.substring("word", 1, 2).alias("head"), F.char_length("word").alias("n"))
-    heads = small_side(sized.groupBy("head").agg(F.collect_set("n").alias("sizes")))
     longest = heads.select(F.max(F.array_max("sizes"))).first()[0] or 0
     places = runs.where(F.char_length("run") > 1).select(
         key, "run_no", "run", F.explode(F.sequence(F.lit(1), F.char_length("run") - 1)).alias("at")
@@ -41,7 +50,78 @@ def longest_matches(runs: DataFrame, dictionary: DataFrame, key: str) -> DataFra
     tried = near.join(heads, "head").select(key, "run_no", "at", "near", F.explode("sizes").alias("n"))
     tried = tried.where(F.char_length("near") >= F.col("n"))
     named = tried.select(key, "run_no", "at", "n", F.col("near").substr(F.lit(1), F.col("n")).alias("word"))
-    return named.join(small_side(words), "word", "left_semi").groupBy(key, "run_no", "at").agg(F.max("n").alias("n"))
+    return named.join(words, "word", "left_semi").groupBy(key, "run_no", "at").agg(F.max("n").alias("n"))
+
+
+def matches_in_place(runs: DataFrame, words: DataFrame, heads: DataFrame, key: str) -> DataFrame:
+    """``key, run_no, at, n, run``: a row with the run, at 0, and after it one for each word at each of its places.
+
+    Both word tables are broadcast, so nothing is shuffled and the rows of a run stay together, its own first.
+    """
+    last = F.greatest(F.char_length("run") - 1, F.lit(0))
+    places = runs.select(key, "run_no", "run", F.explode(F.sequence(F.lit(0), last)).alias("at"))
+    begun = places.withColumn("head", F.when(F.col("at") > 0, F.col("run").substr(F.col("at"), F.lit(2))))
+    tried = begun.join(F.broadcast(heads), "head", "left").select(
+        key, "run_no", "run", "at", F.explode_outer("sizes").alias("n")
+    )
+    inside = F.col("at") + F.col("n") - 1 <= F.char_length("run")
+    named = tried.withColumn("word", F.when(inside, F.col("run").substr(F.col("at"), F.col("n"))))
+    known = named.join(F.broadcast(words.withColumn("_known", F.lit(True))), "word", "left")
+    return known.where("_known OR at = 0").select(
+        key, "run_no", "at", "n", F.when(F.col("at") == 0, F.col("run")).alias("run")
+    )
+
+
+def begins(length: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places in joined runs at which a word begins, from the length of the longest word at each place."""
+    total = len(length)
+    jump = np.append(np.minimum(np.arange(total) + length, total), total)
+    mark = np.zeros(total + 1, bool)
+    mark[np.cumsum(sizes) - sizes] = True
+    for _ in range(int(sizes.max(initial=1)).bit_length()):
+        mark[jump[np.flatnonzero(mark)]] = True
+        jump = jump[jump]
+    return np.flatnonzero(mark[:total])
+
+
+def taken_in_place(matches: DataFrame, key: str) -> DataFrame:
+    """``key, run_no, at, word`` from the rows of :func:`matches_in_place`, whose runs are whole and in order."""
+
+    def cut(rows: pa.Table) -> pa.RecordBatch:
+        at = rows["at"].to_numpy()
+        first = np.flatnonzero(at == 0)
+        texts = rows["run"].take(first).to_pylist()
+        sizes = np.array([len(t) for t in texts], np.int64)
+        base = np.cumsum(sizes) - sizes
+        found = np.flatnonzero(at > 0)
+        place = base[np.searchsorted(first, found) - 1] + at[found] - 1
+        length = np.ones(int(sizes.sum()), np.int64)
+        np.maximum.at(length, place, rows["n"].take(found).to_numpy())
+        starts = begins(length, sizes)
+        joined, mine = "".join(texts), np.searchsorted(base, starts, "right") - 1
+        source = first[mine]
+        words = [joined[a:b] for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(joined)])]
+        columns = [rows[c].take(source).combine_chunks() for c in (key, "run_no")]
+        columns += [pa.array((starts - base[mine] + 1).astype(np.int32)), pa.array(words, pa.string())]
+        return pa.record_batch(columns, names=[key, "run_no", "at", "word"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            first = np.flatnonzero(batch["at"].to_numpy() == 0)
+            if len(first):
+                # The last run of a batch may go on in the next one.
+                held.append(batch.slice(0, int(first[-1])))
+                if any(b.num_rows for b in held):
+                    yield cut(pa.Table.from_batches(held))
+                held = [batch.slice(int(first[-1]))]
+            else:
+                held.append(batch)
+        if held:
+            yield cut(pa.Table.from_batches(held))
+
+    kinds = {f.name: f.dataType.simpleString() for f in matches.schema}
+    return matches.mapInArrow(run, f"`{key}` {kinds[key]}, run_no int, at int, word string")
 
 
 def leftmost(matches: DataFrame, key: str) -> DataFrame:
@@ -71,10 +151,14 @@ def han_words(docs: DataFrame, dictionary: DataFrame, key: str = "doc_id", text:
     """``key, run_no, at, word``: every Chinese word of each text; ``at`` counts characters of its run from 1.
 
     ``dictionary`` has a column ``word``. A null text, or one without Chinese characters, has no words. Keys are
-    distinct; a null key has no words.
+    distinct; a null key has no words. Word tables that were measured small are broadcast and words are found where the
+    texts are; with larger ones, places move to the words and back to their runs.
     """
     runs = han_runs(docs.where(F.col(key).isNotNull()), key, text)
-    taken = leftmost(longest_matches(runs, dictionary, key), key)
+    words, heads = word_tables(dictionary)
+    if is_small(words) and is_small(heads):
+        return taken_in_place(matches_in_place(runs, words, heads, key), key)
+    taken = leftmost(longest_matches(runs, words, heads, key), key)
     per_run = taken.groupBy(key, "run_no").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("_taken"))
     none = F.array().cast("array<struct<at: int, n: int>>")
     whole = runs.join(per_run, [key, "run_no"], "left").withColumn("_taken", F.coalesce("_taken", none))

@@ -99,6 +99,21 @@ class Rounds:
         return self.spark.read.schema(df.schema).parquet(self.paths[0])
 
 
+def is_small(kept: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """Whether ``kept``, which is read for it, has few rows and bytes enough to be broadcast."""
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
+    width = sum(
+        (
+            F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0))
+            for f in kept.schema.fields
+        ),
+        F.lit(0),
+    )
+    size = kept.agg(F.count("*").alias("n"), F.sum(width).alias("b")).first()
+    return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
+
+
 def small_side(
     df: DataFrame,
     max_rows: int | None = None,
@@ -110,17 +125,5 @@ def small_side(
     the bounds no hint is given, and the planner shuffles both sides with
     adaptive skew splitting.
     """
-    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
     kept = settled(df)
-    width = sum(
-        (
-            F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0))
-            for f in kept.schema.fields
-        ),
-        F.lit(0),
-    )
-    size = kept.agg(F.count("*").alias("n"), F.sum(width).alias("b")).first()
-    if size["n"] <= max_rows and (size["b"] or 0) <= max_bytes:
-        return F.broadcast(kept)
-    return kept
+    return F.broadcast(kept) if is_small(kept, max_rows, max_bytes) else kept

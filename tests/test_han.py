@@ -60,6 +60,29 @@ def test_larger_dictionaries_are_shuffled(spark, monkeypatch):
     assert {tuple(r) for r in W.han_words(df, dictionary).collect()} == want
 
 
+def test_small_dictionaries_shuffle_no_place(spark):
+    known, texts = made(5)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    rows = W.han_words(df, spark.createDataFrame([(w,) for w in known], "word STRING"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in plan and "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_runs_over_batches(spark):
+    """Runs whose matches come in many batches."""
+    known, texts = made(7)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING").coalesce(1)
+    dictionary = spark.createDataFrame([(w,) for w in known], "word STRING")
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, 3)
+    try:
+        rows = {tuple(r) for r in W.han_words(df, dictionary).collect()}
+    finally:
+        spark.conf.set(size, before)
+    assert rows == {(i, k, at, w) for i, t in enumerate(texts) for k, run in enumerate(RUNS.findall(t or "")) for at, w in walk(run, known)}
+
+
 def test_batches_are_cut_by_characters(spark, monkeypatch):
     """A batch of many characters is matched and given back in bounded parts."""
     made_, texts = [], ["股票a" * 9, None, "", "市场" * 70, "上涨"] * 8
