@@ -155,3 +155,18 @@ def test_word_lists(spark, tmp_path):
     utf = files.word_list(spark, str(tmp_path / "utf8.txt"))
     assert [r["word"] for r in gbk.collect()] == ["的", "了", "、"]
     assert sorted(files.bounded_words(utf)) == ["基金", "股票"]
+
+
+def test_common_words_of_a_large_vocabulary_are_broadcast(spark, monkeypatch):
+    import bellwire.session as session
+
+    docs = doc_frame(spark, random_texts())
+    bow = V.bag_of_words(docs).cache()
+    idf = V.inverse_frequencies(bow, docs)
+    want = {(r["doc_id"], r["token"]): r["weight"] for r in V.tfidf_weights(bow, idf).collect()}
+    monkeypatch.setattr(session, "BROADCAST_MAX_ROWS", idf.count() - 1)
+    monkeypatch.setattr(V, "COMMON_WORDS", 3, raising=False)
+    split = V.tfidf_weights(bow, session.settled(idf))
+    assert "Union" in split._jdf.queryExecution().executedPlan().toString()
+    got = {(r["doc_id"], r["token"]): r["weight"] for r in split.collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k]) for k in want)
