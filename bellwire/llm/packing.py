@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,8 @@ END_ID = 2
 GROUP_BYTES = 4 << 20
 # Groups that one task packs.
 TASK_GROUPS = 8
-# Words whose ids a task remembers at most.
-MEMORY = 1 << 17
+# Words whose ids a task remembers at most, but for those of one chunk.
+MEMORY = 1 << 18
 
 # Relative costs of one token and of one attended pair of tokens.
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
@@ -48,7 +49,8 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        added = [re.escape(t.content.lower()) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added) or r"(?!)")
         self.model = self.tokenizer.model
         rest = (b for b in range(256) if b not in set(_PRINTED))
         self.chars = {b: chr(b) for b in _PRINTED} | {b: chr(256 + k) for k, b in enumerate(rest)}
@@ -58,12 +60,26 @@ class WordIds:
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.parts: dict[str, list[int]] = {}
-        self.ids = np.zeros(1 << 16, np.uint16)
-        self.starts, self.used = [0], 0
+        self.ids, self.starts = np.zeros(0, np.uint16), np.zeros(1, np.int64)
+        self.again = np.zeros(0, bool)
+
+    def thin(self) -> None:
+        """Keeps the words that came again since they were learnt or last kept, if they are not too many."""
+        slots = np.flatnonzero(self.again)
+        if len(slots) > MEMORY // 2:
+            self.forget()
+            return
+        lengths = (self.starts[1:] - self.starts[:-1])[slots]
+        starts = np.concatenate(([0], np.cumsum(lengths)))
+        self.ids = self.ids[np.repeat(self.starts[slots] - starts[:-1], lengths) + np.arange(starts[-1])]
+        place = np.cumsum(self.again) - 1
+        again = self.again.tolist()
+        self.known = {w: int(place[s]) for w, s in self.known.items() if again[s]}
+        self.starts, self.again, self.parts = starts, np.zeros(len(slots), bool), {}
 
     def word(self, text: str) -> list[int]:
         lower = text.lower()
-        if not self.plain.match(text) or any(t in lower for t in self.special):
+        if not self.plain.match(text) or self.added.search(lower):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
         out: list[int] = []
         for part in self.split.findall(lower):
@@ -87,18 +103,20 @@ class WordIds:
             every = np.array([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())], object)
             _, first, inverse = np.unique(every, return_index=True, return_inverse=True)
         if len(self.known) + len(first) > MEMORY:
-            self.forget()
+            self.thin()
         words = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
         slots = np.array([self.known.get(w, -1) for w in words], np.int64)
-        for i in np.flatnonzero(slots < 0).tolist():
-            ids = self.word(words[i].decode())
-            slots[i] = self.known[words[i]] = len(self.starts) - 1
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.starts.append(self.used)
-        bounds = np.array(self.starts, np.int64)
+        self.again[slots[slots >= 0]] = True
+        new = np.flatnonzero(slots < 0)
+        learnt = [self.word(words[i].decode()) for i in new.tolist()]
+        slots[new] = np.arange(len(new)) + len(self.again)
+        self.known.update(zip([words[i] for i in new.tolist()], slots[new].tolist()))
+        lengths = np.fromiter(map(len, learnt), np.int64, len(learnt))
+        flat = np.fromiter(chain.from_iterable(learnt), np.uint16, int(lengths.sum()))
+        self.ids = np.concatenate((self.ids, flat))
+        self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(lengths)))
+        self.again = np.concatenate((self.again, np.zeros(len(new), bool)))
+        bounds = self.starts
         places = slots[inverse] if len(slots) else np.zeros(0, np.int64)
         lengths = bounds[places + 1] - bounds[places]
         n = len(at) - 1

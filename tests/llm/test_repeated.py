@@ -110,3 +110,20 @@ def test_packing_tells_words_of_one_hash_apart(spark, monkeypatch):
     tokenizer = Tokenizer.from_file(word_bpe())
     want = [tokenizer.encode(t, add_special_tokens=False).ids + [packing.END_ID] for t in texts]
     assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
+
+
+def test_words_that_come_again_are_kept(monkeypatch):
+    """When a task's words grow too many, those that came again stay known and keep their ids."""
+    import pyarrow as pa
+
+    from bellwire.llm.queries import word_bpe
+
+    monkeypatch.setattr(packing, "MEMORY", 60)
+    words, learnt = packing.WordIds(word_bpe()), []
+    word = words.word
+    words.word = lambda text: learnt.append(text) or word(text)
+    common = " ".join(f"common{chr(97 + i)}" for i in range(10))
+    texts = [f"{common} " + " ".join(f"only{i}x{j}" for j in range(20)) for i in range(12)]
+    got = [words.encode(pa.array([t]))[0].tolist() for t in texts]
+    assert sum(t.startswith("common") for t in learnt) == 10
+    assert got == [packing.WordIds(word_bpe()).encode(pa.array([t]))[0].tolist() for t in texts]
