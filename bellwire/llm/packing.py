@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +49,10 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        added = [re.escape(t.content.lower()) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(added) or r"(?!)")
+        added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        # Words of letters alone hold no added token, unless one is made of letters.
+        self.bare = not any(t.isalpha() for t in added)
         self.model = self.tokenizer.model
         rest = (b for b in range(256) if b not in set(_PRINTED))
         self.chars = {b: chr(b) for b in _PRINTED} | {b: chr(256 + k) for k, b in enumerate(rest)}
@@ -79,38 +81,46 @@ class WordIds:
 
     def word(self, text: str) -> list[int]:
         lower = text.lower()
+        if self.bare and text.isascii() and text.isalpha():
+            return self.part(lower)
         if not self.plain.match(text) or self.added.search(lower):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
+        parts = self.split.findall(lower)
+        if len(parts) == 1:
+            # Most new words are one part that comes once.
+            return self.part(lower)
         out: list[int] = []
-        for part in self.split.findall(lower):
+        for part in parts:
             ids = self.parts.get(part)
             if ids is None:
-                ids = [t.id for t in self.model.tokenize("".join([self.chars[b] for b in part.encode()]))]
-                self.parts[part] = ids
+                ids = self.parts[part] = self.part(part)
             out += ids
         return out
 
+    def part(self, part: str) -> list[int]:
+        """Ids of a part in lower case. Printed ASCII stands for itself."""
+        if not part.isascii():
+            part = "".join([self.chars[b] for b in part.encode()])
+        return [t.id for t in self.model.tokenize(part)]
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, end id included, and where each text starts among them."""
         data, at = spans.text_bytes(texts)
         starts, ends, rows = spans.runs(data, at, spans.SPACED)
-        raw = data.tobytes()
-        _, first, inverse = np.unique(
-            spans.span_hashes(data, starts, ends), return_index=True, return_inverse=True
-        )
-        if not spans.same_spans(data, starts, ends, first[inverse]):
-            # Unequal words of one hash: the words themselves are told apart.
-            every = np.array([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())], object)
-            _, first, inverse = np.unique(every, return_index=True, return_inverse=True)
-        if len(self.known) + len(first) > MEMORY:
+        # Distinct words by their bytes: those of all words, and where each word starts among them.
+        offsets = np.concatenate(([0], np.cumsum(ends - starts)))
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data[spans.SPACED[data]])]
+        coded = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+        words, inverse = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        if len(self.known) + len(words) > MEMORY:
             self.thin()
-        words = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-        slots = np.array([self.known.get(w, -1) for w in words], np.int64)
+        slots = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
         self.again[slots[slots >= 0]] = True
         new = np.flatnonzero(slots < 0)
-        learnt = [self.word(words[i].decode()) for i in new.tolist()]
+        fresh = [words[i] for i in new.tolist()]
+        learnt = [self.word(w.decode()) for w in fresh]
         slots[new] = np.arange(len(new)) + len(self.again)
-        self.known.update(zip([words[i] for i in new.tolist()], slots[new].tolist()))
+        self.known.update(zip(fresh, slots[new].tolist()))
         lengths = np.fromiter(map(len, learnt), np.int64, len(learnt))
         flat = np.fromiter(chain.from_iterable(learnt), np.uint16, int(lengths.sum()))
         self.ids = np.concatenate((self.ids, flat))
