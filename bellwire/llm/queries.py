@@ -22,6 +22,7 @@ from bellwire.llm import (
     url_rules,
     warc,
 )
+from bellwire.session import bound_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +55,7 @@ def op4_mixing(spark, d):
 
 
 def op5_packing(spark, d):
+    bound_batches(spark)
     return packing.pack(table(spark, d, "documents"), word_bpe())
 
 
@@ -62,6 +64,7 @@ def op6_quality_rules(spark, d):
 
 
 def op7_line_dedup(spark, d):
+    bound_batches(spark)
     return line_dedup.dedup_report(table(spark, d, "documents"))
 
 
