@@ -34,6 +34,23 @@ class TokenOrder:
         return np.where(self.hashes[at] == hashes, self.classes[at], np.uint16(0))
 
 
+def frequent(blocks: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens that stand ``least`` times or more in ``blocks``, ascending, and their counts. Empties ``blocks``.
+
+    Sorted in place: besides the tokens themselves only what is frequent is held.
+    """
+    tokens = np.concatenate(blocks)
+    blocks.clear()
+    tokens.sort()
+    if len(tokens) < least:
+        return tokens[:0], np.zeros(0, np.int64)
+    first = tokens[: len(tokens) - least + 1] == tokens[least - 1 :]
+    first[1:] &= tokens[1 : len(first)] != tokens[: len(first) - 1]
+    at = np.flatnonzero(first)
+    found = tokens[at]
+    return found, np.searchsorted(tokens, found, "right") - at
+
+
 def token_order(
     docs: DataFrame, tokens: Callable[[pa.RecordBatch], np.ndarray], known: int = KNOWN
 ) -> TokenOrder:
@@ -47,19 +64,15 @@ def token_order(
         held, size = [], 0
 
         def report():
-            found, times = np.unique(np.concatenate(held), return_counts=True)
-            often = times >= LEAST_IN_BLOCK
-            return pa.record_batch(
-                [pa.array(spans.bit_equal(found[often])), pa.array(times[often].astype(np.int64))],
-                names=["token", "n"],
-            )
+            found, times = frequent(held, LEAST_IN_BLOCK)
+            return pa.record_batch([pa.array(spans.bit_equal(found)), pa.array(times)], names=["token", "n"])
 
         for part in spans.chunks(batches, "text"):
             held.append(tokens(part))
             size += len(held[-1])
             if size >= BLOCK_TOKENS:
                 yield report()
-                held, size = [], 0
+                size = 0
         if held:
             yield report()
 
