@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,17 +38,24 @@ def text_check() -> Column:
     return F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0).cast("long"))
 
 
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all texts, where each text starts, then hash and start of each word."""
+    data, at = spans.text_bytes(texts)
+    data = spans.lowered(data)
+    starts, ends = spans.run_bounds(spans.spaced(data), at)
+    return data, at, spans.span_hashes(data, starts, ends), starts
+
+
 def line_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of all lines: hash and line of each; then row and number (from 0) of each line."""
-    data, at = spans.text_bytes(texts)
-    data = spans.LOWER[data]
-    starts, ends, _ = spans.runs(data, at, spans.SPACED)
+    data, at, hashes, starts = words_of(texts)
     a, _, rows = spans.line_runs(data, at)
-    lines = np.searchsorted(a, starts, "right") - 1
+    # Both ascend: a line's words are those that start before the next line.
+    lines = np.repeat(np.arange(len(a)), np.diff(np.searchsorted(starts, a), append=len(starts)))
     # Lines of empty texts start where the next text starts; the words belong to the last of these.
     first = np.searchsorted(rows, np.arange(len(at) - 1))
     numbers = np.arange(len(rows)) - first[rows] if len(rows) else rows
-    return spans.span_hashes(data, starts, ends), lines, rows, numbers
+    return hashes, lines, rows, numbers
 
 
 def line_sets(texts: pa.Array, order: TokenOrder | None):
@@ -146,6 +154,31 @@ def placed(rows: DataFrame, at: str) -> DataFrame:
     )
 
 
+def largest_partner(n: Column, i: Column) -> Column:
+    """The most words a line may have to match one of ``n`` words with place ``i`` as the first in common.
+
+    All common words stand from there on, so ``(100 + PERCENT) * (n - i) >= PERCENT * (n + m)``; see ``first_common``.
+    """
+    return F.floor(((100 + PERCENT) * (n - i) - PERCENT * n) / PERCENT)
+
+
+def meeting(rows: DataFrame, side: str) -> DataFrame:
+    """One side of a join of ``rows`` with themselves: most pairs of a token fall by two numbers that each row holds.
+
+    As ``y``, rows of a negated place match nothing. No column is nullable, so that no filter comes between a side and
+    the exchange that both read.
+    """
+    place = F.greatest(F.col("at"), -1 - F.col("at"))
+    n, i = F.shiftright(place, 32), place.bitwiseAND(F.lit(0x7FFFFFFF))
+    most = largest_partner(n, i)
+    numbers = {"n": n, "most": F.when(F.col("at") >= 0, most) if side == "y" else most}
+    columns = {c: F.col(c) for c in ("doc_id", "line", *SIGN)} | numbers
+    return rows.select(
+        F.col("token").alias(f"token_{side}"),
+        *[F.coalesce(c, F.lit(0).cast("long")).alias(f"{name}_{side}") for name, c in columns.items()],
+    )
+
+
 def refs(side: str) -> Column:
     return F.struct(F.col(f"doc_id_{side}").alias("doc_id"), F.col(f"line_{side}").alias("line"))
 
@@ -172,7 +205,7 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     4. Lines that are left meet all earlier lines of their tokens, where a token can be the first that both
        have in common. Length, position and signatures rule pairs out; the rest is verified.
     """
-    order = token_order(docs, lambda part: line_tokens(part["text"])[0])
+    order = token_order(docs, lambda part: words_of(part["text"])[2])
     lines = stored(prefix_rows(docs, order).withColumn("row", F.monotonically_increasing_id()), "lines")
     # Only the places of lines move to find equal sets; their prefixes stay where they are.
     equal = lines.groupBy(F.col("set_key").alias("_key"), F.col("n").alias("_n"))
@@ -210,23 +243,15 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     gone_ = small_side(settled_.select("later.doc_id", "later.line", F.lit(True).alias("_settled")))
     place = F.when(F.col("_settled"), -1 - F.col("at")).otherwise(F.col("at"))
     full = tokens.join(gone_, ["doc_id", "line"], "left").withColumn("at", place).select("token", *held).repartition("token")
-    x, y = (full.select(*[F.col(c).alias(f"{c}_{side}") for c in ("token", *held)]) for side in "xy")
-    open_x, open_y = (F.greatest(f"at_{side}", -1 - F.col(f"at_{side}")) for side in "xy")
-
-    def of(column: Column, part: str) -> Column:
-        return F.shiftright(column, 32) if part == "n" else column.bitwiseAND(F.lit(0x7FFFFFFF))
-
-    unequal = sum((F.bit_count(F.col(f"{s}_x").bitwiseXOR(F.col(f"{s}_y"))) for s in SIGN), F.lit(0))
-    sizes = of(open_x, "n") + of(open_y, "n")
-    need = F.ceil(sizes * PERCENT / (100 + PERCENT))
-    left = F.least(of(open_x, "n") - of(open_x, "i"), of(open_y, "n") - of(open_y, "i"))
+    x, y = meeting(full, "x"), meeting(full, "y")
     second = (
         x.join(
             y,
             (F.col("token_x") == F.col("token_y"))
+            & (F.col("n_y") <= F.col("most_x"))
+            & (F.col("n_x") <= F.col("most_y"))
             & earlier()
-            & (left >= need)
-            & F.when(F.col("at_y") >= 0, F.floor((sizes - unequal) / 2) >= need),
+            & overlapping(),
         )
         .select(refs("x").alias("earlier"), refs("y").alias("later"))
         .distinct()
@@ -252,17 +277,21 @@ def remove_lines(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in spans.chunks(batches, "text"):
-            texts, counts = [], []
-            for text, lost in zip(part["text"].to_pylist(), part["_gone"].to_pylist()):
-                lines = (text or "").split("\n")
-                drop = set(lost or ())
-                if drop:
-                    text = "\n".join(x for i, x in enumerate(lines) if i not in drop)
-                texts.append(text)
-                counts.append({"lines": len(lines), "removed": len(drop)})
+            lines = pc.add(pc.fill_null(pc.count_substring(part["text"], "\n"), 0).cast(pa.int64()), 1)
+            cut = part["_gone"].is_valid()
+            texts, removed = [], []
+            # Texts that lose no line pass through.
+            for text, lost in zip(part["text"].filter(cut).to_pylist(), part["_gone"].filter(cut).to_pylist()):
+                drop = set(lost)
+                kept = (x for i, x in enumerate((text or "").split("\n")) if i not in drop)
+                texts.append("\n".join(kept) if drop else text)
+                removed.append(len(drop))
+            n_removed = np.zeros(part.num_rows, np.int64)
+            n_removed[cut.to_numpy(zero_copy_only=False)] = removed
             names = [c for c in part.schema.names if c != "_gone"]
-            columns = [pa.array(texts, pa.string()) if c == "text" else part[c] for c in names]
-            yield pa.record_batch([*columns, pa.array(counts, kind)], names=[*names, "_n"])
+            text = pc.replace_with_mask(part["text"], cut, pa.array(texts, part["text"].type)) if texts else part["text"]
+            counts = pa.StructArray.from_arrays([lines, pa.array(n_removed)], fields=list(kind))
+            yield pa.record_batch([*(text if c == "text" else part[c] for c in names), counts], names=[*names, "_n"])
 
     extra = T.StructType([T.StructField("lines", T.LongType()), T.StructField("removed", T.LongType())])
     return joined.mapInArrow(rewrite, T.StructType([*docs.schema.fields, T.StructField("_n", extra)]))

@@ -28,7 +28,7 @@ SIGN_WORDS = 16
 def shingles(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     """All shingles of each text: hashes and rows, rows ascending."""
     data, at = spans.text_bytes(texts)
-    data = spans.LOWER[data]
+    data = spans.lowered(data)
     starts, ends, rows = spans.runs(data, at, spans.SPACED)
     hashes = spans.span_hashes(data, starts, ends)
     grams, first = spans.gram_hashes(hashes, rows, k)

@@ -60,21 +60,37 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(buffers[2], np.uint8)[at[0] : at[-1]], at - at[0]
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """``LOWER`` of each byte."""
+    return data | ((data - np.uint8(65) < 26).view(np.uint8) << 5)
+
+
+def spaced(data: np.ndarray) -> np.ndarray:
+    """``SPACED`` of each byte."""
+    return (data != 0x20) & (data - np.uint8(9) > 4)
+
+
+def run_bounds(mask: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of maximal runs of ``mask``; runs end with their text."""
+    if not len(mask):
+        none = np.zeros(0, np.int64)
+        return none, none
+    bounds = [np.flatnonzero(mask[1:] != mask[:-1]) + 1]
+    # A run ends and another starts where both sides of a text's edge belong to words.
+    edges = np.unique(at[1:-1])
+    edges = edges[(edges > 0) & (edges < len(mask))]
+    bounds.append(np.repeat(edges[mask[edges] & mask[edges - 1]], 2))
+    bounds.append(np.array([0] * bool(mask[0]) + [len(mask)] * bool(mask[-1]), np.int64))
+    both = np.concatenate(bounds)
+    both.sort(kind="stable")
+    return both[::2], both[1::2]
+
+
 def runs(
     data: np.ndarray, at: np.ndarray, inside: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximal runs of bytes that belong to words: starts, ends, row of each. Runs end with their text."""
-    if not len(data):
-        none = np.zeros(0, np.int64)
-        return none, none, none
-    mask = inside[data]
-    before = np.concatenate(([False], mask[:-1]))
-    after = np.concatenate((mask[1:], [False]))
-    edges = at[1:-1]
-    before[edges[edges < len(data)]] = False
-    after[edges[edges > 0] - 1] = False
-    starts = np.flatnonzero(mask & ~before)
-    ends = np.flatnonzero(mask & ~after) + 1
+    starts, ends = run_bounds(spaced(data) if inside is SPACED else inside[data], at)
     return starts, ends, np.searchsorted(at, starts, "right") - 1
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,9 @@ BLOCK_TOKENS = 4 << 20
 LEAST_IN_BLOCK = 6
 # Frequent tokens that the order knows; all others count as rare. Joins are exact for any order.
 KNOWN = 1 << 17
+# Upper bits of a hash that lead to the known tokens with these bits, and how many of those are looked at one by one.
+LEAD_BITS = 18
+LEAD_STEPS = 8
 
 
 @dataclass
@@ -26,12 +30,35 @@ class TokenOrder:
     hashes: np.ndarray
     classes: np.ndarray
 
+    @cached_property
+    def starts(self) -> np.ndarray:
+        """Where the tokens with each value of the upper bits begin in ``hashes``."""
+        lead = self.hashes >> np.uint64(64 - LEAD_BITS)
+        return np.searchsorted(lead, np.arange((1 << LEAD_BITS) + 1, dtype=np.uint64))
+
     def of(self, hashes: np.ndarray) -> np.ndarray:
         """The frequency class of each token: 0 for rare ones, else eighths of the count's logarithm."""
+        found = np.zeros(len(hashes), np.uint16)
         if not len(self.hashes):
-            return np.zeros(len(hashes), np.uint16)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.classes[at], np.uint16(0))
+            return found
+        last = len(self.hashes) - 1
+        lead = (hashes >> np.uint64(64 - LEAD_BITS)).astype(np.int64)
+        at = np.minimum(self.starts[lead], last)
+        same = self.hashes[at] == hashes
+        found = np.where(same, self.classes[at], found)
+        left = np.flatnonzero(~same)
+        at, end = at[left] + 1, self.starts[lead[left] + 1]
+        for step in range(LEAD_STEPS):
+            more = at < end
+            left, at, end = left[more], at[more], end[more]
+            if not len(left):
+                return found
+            same = self.hashes[at] == hashes[left]
+            found[left[same]] = self.classes[at[same]]
+            left, at, end = left[~same], at[~same] + 1, end[~same]
+        at = np.minimum(np.searchsorted(self.hashes, hashes[left]), last)
+        found[left] = np.where(self.hashes[at] == hashes[left], self.classes[at], np.uint16(0))
+        return found
 
 
 def frequent(blocks: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
