@@ -1,4 +1,7 @@
-"""Chinese words by joins with a dictionary of any size: the longest known word at each place, else one character."""
+"""Chinese words by a dictionary of any size: the longest known word at each place, else one character.
+
+Words that tasks can hold are matched against chunks of texts at once; more words than that are joined with the texts' places.
+"""
 
 from __future__ import annotations
 
@@ -16,8 +19,13 @@ from bellwire.session import is_small, settled
 # Functions that run inside tasks travel with the job: workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Fixed value: runs of Chinese characters.
+# Runs of Chinese characters, and the first and last of these.
 RUN = "([一-龥]+)"
+FIRST, LAST = ord("一"), ord("龥")
+# Characters of text that are matched at once: their arrays take some hundred bytes a character.
+CHUNK_CHARS = 1 << 18
+# Bits of a word's hash by which most places that begin no word are passed over.
+SIEVE_BITS = 20
 
 
 def han_runs(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -53,23 +61,61 @@ def longest_matches(runs: DataFrame, words: DataFrame, heads: DataFrame, key: st
     return named.join(words, "word", "left_semi").groupBy(key, "run_no", "at").agg(F.max("n").alias("n"))
 
 
-def matches_in_place(runs: DataFrame, words: DataFrame, heads: DataFrame, key: str) -> DataFrame:
-    """``key, run_no, at, n, run``: a row with the run, at 0, and after it one for each word at each of its places.
+def numbered(words: DataFrame) -> tuple[dict[int, tuple], DataFrame]:
+    """What tasks need to find ``words``, by length: their hashes, characters and numbers; and ``id, word`` of all words and characters.
 
-    Both word tables are broadcast, so nothing is shuffled and the rows of a run stay together, its own first.
+    A character by itself is a word whose number is its code; the numbers of longer words come after these.
     """
-    last = F.greatest(F.char_length("run") - 1, F.lit(0))
-    places = runs.select(key, "run_no", "run", F.explode(F.sequence(F.lit(0), last)).alias("at"))
-    begun = places.withColumn("head", F.when(F.col("at") > 0, F.col("run").substr(F.col("at"), F.lit(2))))
-    tried = begun.join(F.broadcast(heads), "head", "left").select(
-        key, "run_no", "run", "at", F.explode_outer("sizes").alias("n")
-    )
-    inside = F.col("at") + F.col("n") - 1 <= F.char_length("run")
-    named = tried.withColumn("word", F.when(inside, F.col("run").substr(F.col("at"), F.col("n"))))
-    known = named.join(F.broadcast(words.withColumn("_known", F.lit(True))), "word", "left")
-    return known.where("_known OR at = 0").select(
-        key, "run_no", "at", "n", F.when(F.col("at") == 0, F.col("run")).alias("run")
-    )
+    known = sorted(r["word"] for r in words.collect())
+    by_length: dict[int, list[int]] = {}
+    for i, word in enumerate(known):
+        by_length.setdefault(len(word), []).append(i)
+    tables = {}
+    for n, mine in sorted(by_length.items()):
+        chars = np.frombuffer("".join(known[i] for i in mine).encode("utf-32-le"), np.uint32).reshape(-1, n)
+        found = np.zeros(len(mine), np.uint64)
+        for j in range(n):
+            found = mixed(found, chars[:, j])
+        order = np.argsort(found, kind="stable")
+        sieve = np.zeros(1 << SIEVE_BITS, bool)
+        sieve[found >> np.uint64(64 - SIEVE_BITS)] = True
+        tables[n] = sieve, found[order], chars[order], (np.array(mine, np.int32) + LAST + 1)[order]
+    ids = pa.array([*range(FIRST, LAST + 1), *range(LAST + 1, LAST + 1 + len(known))], pa.int32())
+    named = pa.table([ids, pa.array([*map(chr, range(FIRST, LAST + 1)), *known], pa.string())], names=["id", "word"])
+    return tables, words.sparkSession.createDataFrame(named)
+
+
+def mixed(hashes: np.ndarray, chars: np.ndarray) -> np.ndarray:
+    """Hashes of one character more."""
+    out = (hashes ^ chars.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    out ^= out >> np.uint64(29)
+    return out
+
+
+def longest(chars: np.ndarray, ends: np.ndarray, tables: dict[int, tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Length and number of the longest word at each place of joined runs; ``ends`` has where the place's run ends."""
+    length, ids = np.ones(len(chars), np.int32), chars.astype(np.int32)
+    hashes, done = np.zeros(len(chars), np.uint64), 0
+    for n, (sieve, known, letters, numbers) in sorted(tables.items()):
+        if n > len(chars):
+            break
+        while done < n:
+            hashes = mixed(hashes[: len(chars) - done], chars[done:])
+            done += 1
+        open_ = np.flatnonzero(sieve[hashes >> np.uint64(64 - SIEVE_BITS)])
+        open_ = open_[open_ + n <= ends[open_]]
+        place = np.searchsorted(known, hashes[open_])
+        # Words of one hash stand next to one another.
+        while len(open_):
+            inside = place < len(known)
+            open_, place = open_[inside], place[inside]
+            same = known[place] == hashes[open_]
+            open_, place = open_[same], place[same]
+            equal = (letters[place] == chars[open_[:, None] + np.arange(n)]).all(axis=1)
+            length[open_[equal]] = n
+            ids[open_[equal]] = numbers[place[equal]]
+            open_, place = open_[~equal], place[~equal] + 1
+    return length, ids
 
 
 def begins(length: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -84,44 +130,49 @@ def begins(length: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.flatnonzero(mark[:total])
 
 
-def taken_in_place(matches: DataFrame, key: str) -> DataFrame:
-    """``key, run_no, at, word`` from the rows of :func:`matches_in_place`, whose runs are whole and in order."""
-
-    def cut(rows: pa.Table) -> pa.RecordBatch:
-        at = rows["at"].to_numpy()
-        first = np.flatnonzero(at == 0)
-        texts = rows["run"].take(first).to_pylist()
-        sizes = np.array([len(t) for t in texts], np.int64)
-        base = np.cumsum(sizes) - sizes
-        found = np.flatnonzero(at > 0)
-        place = base[np.searchsorted(first, found) - 1] + at[found] - 1
-        length = np.ones(int(sizes.sum()), np.int64)
-        np.maximum.at(length, place, rows["n"].take(found).to_numpy())
-        starts = begins(length, sizes)
-        joined, mine = "".join(texts), np.searchsorted(base, starts, "right") - 1
-        source = first[mine]
-        words = [joined[a:b] for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(joined)])]
-        columns = [rows[c].take(source).combine_chunks() for c in (key, "run_no")]
-        columns += [pa.array((starts - base[mine] + 1).astype(np.int32)), pa.array(words, pa.string())]
-        return pa.record_batch(columns, names=[key, "run_no", "at", "word"])
+def words_of(texts: list[str], tables: dict[int, tuple]) -> tuple[np.ndarray, ...]:
+    """Number of its text, number of its run there, place in the run from 1, and number of each word."""
+    sizes = np.array([len(t) + 1 for t in texts], np.int64)
+    codes = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
+    chinese = (codes >= FIRST) & (codes <= LAST)
+    # The line break after each text ends its last run.
+    edges = np.flatnonzero(np.diff(chinese, prepend=False))
+    starts, sizes_of_runs = edges[::2], edges[1::2] - edges[::2]
+    text = np.searchsorted(np.cumsum(sizes), starts, "right")
+    number = np.arange(len(text)) - np.searchsorted(text, text, "left")
+    ends = np.cumsum(sizes_of_runs)
+    length, ids = longest(codes[chinese], np.repeat(ends, sizes_of_runs), tables)
+    found = begins(length, sizes_of_runs)
+    run = np.repeat(np.arange(len(text)), sizes_of_runs)[found]
+    return text[run], number[run].astype(np.int32), (found - (ends - sizes_of_runs)[run] + 1).astype(np.int32), ids[found]
+
+
+def found_in_place(docs: DataFrame, words: DataFrame, key: str, text: str) -> DataFrame:
+    """``key, run_no, at, word`` of whole texts, a chunk of characters at a time: nothing is shuffled, and no place is a row.
+
+    Tasks hold the words as arrays and give each word's number; what is a word by that number is broadcast.
+    """
+    tables, names = numbered(words)
+    shared = docs.sparkSession.sparkContext.broadcast(tables)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
         for batch in batches:
-            first = np.flatnonzero(batch["at"].to_numpy() == 0)
-            if len(first):
-                # The last run of a batch may go on in the next one.
-                held.append(batch.slice(0, int(first[-1])))
-                if any(b.num_rows for b in held):
-                    yield cut(pa.Table.from_batches(held))
-                held = [batch.slice(int(first[-1]))]
-            else:
-                held.append(batch)
-        if held:
-            yield cut(pa.Table.from_batches(held))
-
-    kinds = {f.name: f.dataType.simpleString() for f in matches.schema}
-    return matches.mapInArrow(run, f"`{key}` {kinds[key]}, run_no int, at int, word string")
+            texts = [(x or b"").decode("utf-8", "replace") for x in batch["_text"].to_pylist()]
+            # What is held at a time follows the characters of a chunk, not the rows of a batch.
+            ends, start = np.cumsum([len(t) for t in texts], dtype=np.int64), 0
+            while start < len(texts):
+                done = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, done + CHUNK_CHARS, "right")))
+                source, run_no, at, ids = words_of(texts[start:stop], shared.value)
+                yield pa.record_batch(
+                    [batch[key].take(pa.array(source + start)), pa.array(run_no), pa.array(at), pa.array(ids)],
+                    names=[key, "run_no", "at", "id"],
+                )
+                start = stop
+
+    kind = docs.schema[key].dataType.simpleString()
+    rows = docs.select(key, F.col(text).cast("binary").alias("_text")).mapInArrow(run, f"`{key}` {kind}, run_no int, at int, id int")
+    return rows.join(F.broadcast(names), "id").select(key, "run_no", "at", "word")
 
 
 def leftmost(matches: DataFrame, key: str) -> DataFrame:
@@ -154,10 +205,11 @@ def han_words(docs: DataFrame, dictionary: DataFrame, key: str = "doc_id", text:
     distinct; a null key has no words. Word tables that were measured small are broadcast and words are found where the
     texts are; with larger ones, places move to the words and back to their runs.
     """
-    runs = han_runs(docs.where(F.col(key).isNotNull()), key, text)
+    keyed = docs.where(F.col(key).isNotNull())
+    runs = han_runs(keyed, key, text)
     words, heads = word_tables(dictionary)
     if is_small(words) and is_small(heads):
-        return taken_in_place(matches_in_place(runs, words, heads, key), key)
+        return found_in_place(keyed, words, key, text)
     taken = leftmost(longest_matches(runs, words, heads, key), key)
     per_run = taken.groupBy(key, "run_no").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("_taken"))
     none = F.array().cast("array<struct<at: int, n: int>>")

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -93,3 +94,27 @@ def test_batches_are_cut_by_characters(spark, monkeypatch):
     assert len(parts) > 8 and all(len("".join(w for row in p for w in row)) <= 50 or len(p) == 1 for p in parts)
     words = {"股票a" * 9: ["股票", "a"] * 9, None: [], "": [], "市场" * 70: ["市场"] * 70, "上涨": ["上", "涨"]}
     assert [row for p in parts for row in p] == [words[t] for t in texts]
+
+
+def test_places_are_no_rows(spark, monkeypatch):
+    """Words are found in chunks of texts, not by a row for each place; texts and runs lie across chunks as they like."""
+    known, texts = made(11)
+    texts += ["股票\U00020000股票", "股�票", "\n股票\n市场\n", "一龥" * 3]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING").coalesce(2)
+    monkeypatch.setattr(W, "CHUNK_CHARS", 40)
+    rows = W.han_words(df, spark.createDataFrame([(w,) for w in known], "word STRING"))
+    assert "Generate" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in rows.collect()} == {
+        (i, k, at, w) for i, t in enumerate(texts) for k, run in enumerate(RUNS.findall(t or "")) for at, w in walk(run, known)
+    }
+
+
+def test_words_of_one_hash(spark, monkeypatch):
+    """Words are compared, whatever their hashes."""
+    known, texts = made(13)
+    monkeypatch.setattr(W, "mixed", lambda hashes, chars: hashes * np.uint64(0) + (chars & 1).astype(np.uint64))
+    tables, names = W.numbered(spark.createDataFrame([(w,) for w in known if len(w) > 1], "word STRING"))
+    word = {r["id"]: r["word"] for r in names.collect()}
+    text, run, at, ids = (x.tolist() for x in W.words_of([t or "" for t in texts], tables))
+    want = [(i, k, a, w) for i, t in enumerate(texts) for k, r in enumerate(RUNS.findall(t or "")) for a, w in walk(r, known)]
+    assert list(zip(text, run, at, [word[i] for i in ids])) == want
